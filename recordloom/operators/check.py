@@ -18,12 +18,20 @@ _VERDICTS = "_verdicts"
 RECORD = "$[0]"
 
 
-def parse_text(df: DataFrame, text: str = "generated_text") -> DataFrame:
-    """Add ``_document``, the text parsed once in a projection of its own.
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, whatever follows.
 
-    Everything else here reads this column, so that all rules share one parse.
+    A filter above a plain projection is moved below it with the column's expression
+    copied into the filter, so an expensive column would be computed twice, or as often as
+    the copy mentions it.  Nothing is moved below a generator's output, hence the explode
+    of a one-element array: still one row per row, in one stage.
     """
-    return df.withColumn(DOCUMENT, json_text.whole_document(F.col(text)))
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def parse_text(df: DataFrame, text: str = "generated_text") -> DataFrame:
+    """Add ``_document``, the parsed text; all rules share this one parse."""
+    return once(df, DOCUMENT, json_text.whole_document(F.col(text)))
 
 
 def is_one_object(text: str = "generated_text") -> Column:
@@ -57,11 +65,8 @@ def find_violations(
         .when(rules.all_fine(verdicts, part, extended), rules.no_breach())
         .otherwise(rules.breaches(source, verdicts, part, extended, at))
     )
-    return (
-        parsed.withColumn(_VERDICTS, rules.leaf_verdicts(source, part, extended, at))
-        .withColumn(name, found)
-        .drop(_VERDICTS)
-    )
+    leaves = parsed.withColumn(_VERDICTS, rules.leaf_verdicts(source, part, extended, at))
+    return once(leaves, name, found).drop(_VERDICTS)
 
 
 def check_records(
