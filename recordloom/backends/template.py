@@ -67,28 +67,32 @@ def template_text(prompt: str) -> str:
     return json.dumps(fill(ROOT), ensure_ascii=False, separators=(",", ":"))
 
 
-def template_record(prompt: Column) -> Column:
-    """The same record as a STRUCT; ``to_json`` of it equals :func:`template_text`."""
-    digest = F.sha2(prompt, 256)
+def template_record(prompt: str) -> Column:
+    """The same record as a STRUCT over the named prompt column.
+
+    ``to_json`` of it equals :func:`template_text`.
+    """
+    digest = f"sha2(`{prompt}`, 256)"
     at = 1
 
-    def fill(part: str) -> Column:
+    def fill(part: str) -> str:
         nonlocal at
-        columns = []
+        pairs = []
         for f in fields_of(part):
             if f.kind == "part":
                 value = fill(f.part)
             elif f.name == REPEATS_PROMPT:
-                value = prompt
+                value = f"`{prompt}`"
             else:
                 options = _options(f)
-                drawn = F.conv(F.substring(digest, at, 4), 16, 10).cast("int")
-                value = F.array(*[F.lit(o) for o in options])[drawn % F.lit(len(options))]
+                listed = ", ".join(repr(o) if isinstance(o, str) else str(o) for o in options)
+                drawn = f"cast(conv(substr({digest}, {at}, 4), 16, 10) AS int) % {len(options)}"
+                value = f"array({listed})[{drawn}]"
                 at += 4
-            columns.append(value.alias(f.name))
-        return F.struct(*columns)
+            pairs.append(f"'{f.name}', {value}")
+        return f"named_struct({', '.join(pairs)})"
 
-    return fill(ROOT)
+    return F.expr(fill(ROOT))
 
 
 def tokens_in(n_chars: int) -> int:

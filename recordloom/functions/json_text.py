@@ -50,27 +50,25 @@ def is_empty_list(text: Column) -> Column:
     return F.coalesce(text.rlike(r"^[ \t\n\r]*\[[ \t\n\r]*\][ \t\n\r]*$"), F.lit(False))
 
 
-def is_string_list(text: Column, elements: Column) -> Column:
+def is_string_list(text: Column, elements: str) -> Column:
     """Verdict for a whole prompt file: a JSON list with nothing but strings in it.
 
-    ``elements`` is :func:`prompt_list` of ``text``.
+    ``elements`` names the column that holds :func:`prompt_list` of ``text``.
     """
     body = F.trim(text, F.lit(_JSON_SPACE))
-    complete = F.try_variant_get(F.get(elements, F.size(elements) - 1), "$", "string") == F.md5(
-        body
-    )
-    only_strings = F.forall(elements, lambda e: F.schema_of_variant(e) == F.lit("STRING"))
+    complete = F.expr(
+        f"try_variant_get(get(`{elements}`, size(`{elements}`) - 1), '$', 'string')"
+    ) == F.md5(body)
+    only_strings = F.expr(f"forall(`{elements}`, e -> schema_of_variant(e) = 'STRING')")
     return F.coalesce(
         F.is_valid_utf8(text) & (is_empty_list(text) | (complete & only_strings)), F.lit(False)
     )
 
 
-def string_elements(elements: Column) -> Column:
+def string_elements(elements: str) -> Column:
     """The strings of a list that passed :func:`is_string_list` (digest dropped)."""
-    return F.transform(
-        F.slice(elements, F.lit(1), F.size(elements) - 1),
-        lambda e: F.try_variant_get(e, "$", "string"),
-    )
+    listed = f"slice(`{elements}`, 1, size(`{elements}`) - 1)"
+    return F.expr(f"transform({listed}, e -> try_variant_get(e, '$', 'string'))")
 
 
 def _is_plain(data_type: T.DataType) -> bool:

@@ -1,7 +1,8 @@
-"""Checking rules of a record part as Column expressions over one parsed VARIANT.
+"""Checking rules of a record part, generated as SQL expressions from the field table.
 
-Paths in rules and violations start at the record (``$``).  The record may sit deeper in
-the VARIANT that is looked into; ``at`` says where.
+The expressions look into one parsed VARIANT column.  Paths in rules and violations start
+at the record (``$``); the record may sit deeper in the VARIANT, ``at`` says where.  SQL
+text keeps building a plan cheap: one call into the JVM instead of thousands.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from recordloom.fields import ROOT, Field, fields_of
 
-VIOLATION_DDL = "array<struct<path:string,rule:string>>"
+# Verdict of one leaf, in the order in which a value is looked at.
+FINE, MISSING, WRONG_TYPE, OUTSIDE = 0, 1, 2, 3
 
 
 class Rule(NamedTuple):
@@ -33,10 +35,6 @@ def rules_of(part: str = ROOT, extended: bool = False, path: str = "$") -> list[
     return out
 
 
-def leaf_rules(part: str = ROOT, extended: bool = False) -> list[Rule]:
-    return [r for r in rules_of(part, extended) if r.field.kind != "part"]
-
-
 def object_paths(part: str = ROOT, extended: bool = False) -> dict[str, list[str]]:
     """Path of every object of the part -> names of its declared fields."""
     out = {"$": [f.name for f in fields_of(part, extended)]}
@@ -47,123 +45,143 @@ def object_paths(part: str = ROOT, extended: bool = False) -> dict[str, list[str
 
 
 def moved(path: str, at: str) -> str:
+    """A record path as a path into the VARIANT."""
     return at + path[1:]
 
 
-def value_at(document: Column, path: str, at: str = "$") -> Column:
-    return F.try_variant_get(document, moved(path, at), "variant")
-
-
-def type_at(document: Column, path: str, at: str = "$") -> Column:
-    """JSON type of the value at a path: NULL when missing, ``VOID`` for JSON null."""
-    return F.schema_of_variant(value_at(document, path, at))
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-# Verdict of one path, in the order in which a value is looked at.
-FINE, MISSING, WRONG_TYPE, OUTSIDE = 0, 1, 2, 3
-RULE_NAMES = {MISSING: "required", WRONG_TYPE: "type", OUTSIDE: "enum"}
-
-
-def leaf_verdicts(
-    document: Column, part: str = ROOT, extended: bool = False, at: str = "$"
-) -> Column:
-    """ARRAY<INT>, one verdict per leaf of the part.
+class RuleSet:
+    """The rules of one part over a VARIANT column.
 
-    Small enough for the JVM to compile together with the parse; what a record with
-    violations needs beyond it is left to :func:`breaches`.
+    ``verdicts`` (one number per leaf) is small enough for the JVM to compile together
+    with the parse, and decides about most records.  ``violations`` adds what the others
+    need: objects, and fields of objects that are not there.
     """
-    return F.array(*[_leaf(document, r, at) for r in leaf_rules(part, extended)])
-
-
-def _leaf(document: Column, rule: Rule, at: str) -> Column:
-    found = type_at(document, rule.path, at)
-    fits = _fits(document, rule, found, at)
-    if rule.field.optional:
-        fits = fits | (found == "VOID")
-    verdict = F.when(found.isNull(), F.lit(FINE if rule.field.optional else MISSING))
-    verdict = verdict.when(~fits, F.lit(WRONG_TYPE))
-    if rule.field.choices:
-        chosen = F.try_variant_get(document, moved(rule.path, at), "string")
-        verdict = verdict.when(~chosen.isin(list(rule.field.choices)), F.lit(OUTSIDE))
-    return verdict.otherwise(F.lit(FINE))
-
-
-def _fits(document: Column, rule: Rule, found: Column, at: str) -> Column:
-    """Does the JSON type of a value that is there suit the field?  Never by casting."""
-    kind = rule.field.kind
-    if kind == "text":
-        return found == "STRING"
-    if kind == "flag":
-        return found == "BOOLEAN"
-    if kind == "parts":
-        return found.startswith("ARRAY<")
-    if kind == "whole":
-        number = F.try_variant_get(document, moved(rule.path, at), "double")
-        # 1.0 and 1e2 are integers in JSON Schema; 1.5 is not.
-        fraction = found.startswith("DECIMAL(") | found.isin("DOUBLE", "FLOAT")
-        return (found == "BIGINT") | (fraction & (F.floor(number) == number))
-    # A list of text: the merged element type would hide nulls among strings.
-    items = F.try_variant_get(document, moved(rule.path, at), "array<variant>")
-    only_text = F.forall(items, lambda e: F.schema_of_variant(e) == F.lit("STRING"))
-    return found.startswith("ARRAY<") & F.coalesce(only_text, F.lit(False))
-
-
-def all_fine(verdicts: Column, part: str = ROOT, extended: bool = False) -> Column:
-    """True when no leaf has a violation; every object is then in place too."""
-    return verdicts == F.array_repeat(F.lit(FINE), len(leaf_rules(part, extended)))
-
-
-def is_object(
-    document: Column, verdicts: Column, path: str, part: str, extended: bool, at: str
-) -> Column:
-    """True when the value at a path is an object (never NULL).
-
-    A leaf that was found proves every object above it, so the type of the object itself,
-    which would describe its whole content, is looked up only where one is missing.
-    """
-    leaves = leaf_rules(part, extended)
-    proof = [
-        i for i, r in enumerate(leaves) if r.path.startswith(f"{path}.") and not r.field.optional
-    ]
-    looked_up = F.coalesce(type_at(document, path, at).startswith("OBJECT<"), F.lit(False))
-    if not proof:
-        return looked_up
-    return F.when(verdicts[proof[0]] != MISSING, F.lit(True)).otherwise(looked_up)
 
-
-def breaches(
-    document: Column, verdicts: Column, part: str = ROOT, extended: bool = False, at: str = "$"
-) -> Column:
-    """Violations of an object, at most one per path, in declared order.
-
-    Fields of a missing or misplaced object are not reported on their own.
-    """
-    leaves = [r.path for r in leaf_rules(part, extended)]
-    cases = []
-    for rule in rules_of(part, extended):
-        if rule.field.kind == "part":
-            there = is_object(document, verdicts, rule.path, part, extended, at)
-            absent = type_at(document, rule.path, at).isNull()
-            verdict = (
-                F.when(there, F.lit(FINE)).when(absent, F.lit(MISSING)).otherwise(F.lit(WRONG_TYPE))
+    def __init__(
+        self,
+        document: str,
+        part: str = ROOT,
+        extended: bool = False,
+        at: str = "$",
+        verdicts: str = "_verdicts",
+    ):
+        self.document = f"`{document}`"
+        self.at = at
+        self.verdicts_column = f"`{verdicts}`"
+        self.rules = rules_of(part, extended)
+        self.leaves = [r for r in self.rules if r.field.kind != "part"]
+
+    # Column expressions
+
+    def verdicts(self) -> Column:
+        """ARRAY<INT>: what is wrong with each leaf."""
+        return F.expr(f"array({', '.join(self._leaf(r) for r in self.leaves)})")
+
+    def is_object(self) -> Column:
+        """True when the value at ``at`` is an object (never NULL)."""
+        return F.expr(self._is_object("$"))
+
+    def violations(self, accepted: Column) -> Column:
+        """ARRAY<STRUCT<path, rule>>; ``json_object`` alone where not ``accepted``."""
+        refused = F.expr("array(named_struct('path', '$', 'rule', 'json_object'))")
+        fine = ", ".join([str(FINE)] * len(self.leaves))
+        none = "cast(array() AS array<struct<path: string, rule: string>>)"
+        return F.when(~accepted, refused).otherwise(
+            F.expr(
+                f"CASE WHEN {self.verdicts_column} = array({fine}) THEN {none} "
+                f"ELSE {self._breaches()} END"
             )
-        else:
-            verdict = verdicts[leaves.index(rule.path)]
-        if rule.parent != "$":
-            above = is_object(document, verdicts, rule.parent, part, extended, at)
-            verdict = F.when((verdict == MISSING) & ~above, F.lit(FINE)).otherwise(verdict)
-        cases.append(F.struct(F.lit(rule.path).alias("path"), verdict.alias("verdict")))
-    names = F.create_map(*[F.lit(x) for pair in RULE_NAMES.items() for x in pair])
-    return F.transform(
-        F.filter(F.array(*cases), lambda c: c["verdict"] != FINE),
-        lambda c: F.struct(c["path"].alias("path"), names[c["verdict"]].alias("rule")),
-    )
-
-
-def breach(path: str, rule: str) -> Column:
-    """A list with one violation."""
-    return F.array(F.struct(F.lit(path).alias("path"), F.lit(rule).alias("rule")))
-
-
-def no_breach() -> Column:
-    return F.array().cast(VIOLATION_DDL)
+        )
+
+    # SQL pieces
+
+    def _get(self, path: str, data_type: str) -> str:
+        return f"try_variant_get({self.document}, '{moved(path, self.at)}', '{data_type}')"
+
+    def _type(self, path: str) -> str:
+        """JSON type of the value at a path: NULL when missing, VOID for JSON null."""
+        return f"schema_of_variant({self._get(path, 'variant')})"
+
+    def _leaf(self, rule: Rule) -> str:
+        found = self._type(rule.path)
+        fits = self._fits(rule, found)
+        absent = MISSING
+        if rule.field.optional:
+            fits, absent = f"({fits} OR {found} = 'VOID')", FINE
+        cases = [
+            f"WHEN {found} IS NULL THEN {absent}",
+            f"WHEN NOT {fits} THEN {WRONG_TYPE}",
+        ]
+        if rule.field.choices:
+            allowed = ", ".join(_text(c) for c in rule.field.choices)
+            cases.append(
+                f"WHEN {self._get(rule.path, 'string')} NOT IN ({allowed}) THEN {OUTSIDE}"
+            )
+        return f"CASE {' '.join(cases)} ELSE {FINE} END"
+
+    def _fits(self, rule: Rule, found: str) -> str:
+        """Does the JSON type of a value that is there suit the field?  Never by casting."""
+        kind = rule.field.kind
+        if kind in ("text", "flag"):
+            return f"({found} = '{'STRING' if kind == 'text' else 'BOOLEAN'}')"
+        if kind == "parts":
+            return f"({found} LIKE 'ARRAY<%')"
+        if kind == "whole":
+            # 1.0 and 1e2 are integers in JSON Schema; 1.5 is not.
+            number = self._get(rule.path, "double")
+            return (
+                f"({found} = 'BIGINT' OR (({found} LIKE 'DECIMAL(%' OR {found} IN "
+                f"('DOUBLE', 'FLOAT')) AND floor({number}) = {number}))"
+            )
+        # A list of text: the merged element type would hide nulls among strings.
+        items = self._get(rule.path, "array<variant>")
+        return (
+            f"({found} LIKE 'ARRAY<%' AND "
+            f"coalesce(forall({items}, e -> schema_of_variant(e) = 'STRING'), false))"
+        )
+
+    def _is_object(self, path: str) -> str:
+        """A leaf that was found proves every object above it.
+
+        The type of the object itself describes its whole content; it is looked up only
+        where that leaf is missing.
+        """
+        looked_up = f"coalesce({self._type(path)} LIKE 'OBJECT<%', false)"
+        for i, leaf in enumerate(self.leaves):
+            if leaf.path.startswith(f"{path}.") and not leaf.field.optional:
+                return (
+                    f"CASE WHEN {self.verdicts_column}[{i}] <> {MISSING} THEN true "
+                    f"ELSE {looked_up} END"
+                )
+        return looked_up
+
+    def _breaches(self) -> str:
+        """Violations of an object, at most one per path, in declared order.
+
+        Fields of a missing or misplaced object are not reported on their own.
+        """
+        places = {r.path: i for i, r in enumerate(self.leaves)}
+        entries = []
+        for rule in self.rules:
+            if rule.field.kind == "part":
+                verdict = (
+                    f"CASE WHEN {self._is_object(rule.path)} THEN {FINE} "
+                    f"WHEN {self._type(rule.path)} IS NULL THEN {MISSING} ELSE {WRONG_TYPE} END"
+                )
+            else:
+                verdict = f"{self.verdicts_column}[{places[rule.path]}]"
+            if rule.parent != "$":
+                verdict = (
+                    f"CASE WHEN {verdict} = {MISSING} AND NOT {self._is_object(rule.parent)} "
+                    f"THEN {FINE} ELSE {verdict} END"
+                )
+            entries.append(f"named_struct('path', '{rule.path}', 'verdict', {verdict})")
+        return (
+            f"transform(filter(array({', '.join(entries)}), b -> b.verdict <> {FINE}), b -> "
+            f"named_struct('path', b.path, 'rule', CASE b.verdict WHEN {MISSING} THEN 'required' "
+            f"WHEN {WRONG_TYPE} THEN 'type' ELSE 'enum' END))"
+        )

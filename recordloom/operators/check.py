@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from recordloom.fields import ROOT
 from recordloom.functions import json_text, rules
+from recordloom.operators.once import once
 from recordloom.schema import ddl_of, leaf_paths
 
 DOCUMENT = "_document"
@@ -18,17 +19,6 @@ _VERDICTS = "_verdicts"
 RECORD = "$[0]"
 
 
-def once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that is computed once per row, whatever follows.
-
-    A filter above a plain projection is moved below it with the column's expression
-    copied into the filter, so an expensive column would be computed twice, or as often as
-    the copy mentions it.  Nothing is moved below a generator's output, hence the explode
-    of a one-element array: still one row per row, in one stage.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def parse_text(df: DataFrame, text: str = "generated_text") -> DataFrame:
     """Add ``_document``, the parsed text; all rules share this one parse."""
     return once(df, DOCUMENT, json_text.whole_document(F.col(text)))
@@ -36,9 +26,9 @@ def parse_text(df: DataFrame, text: str = "generated_text") -> DataFrame:
 
 def is_one_object(text: str = "generated_text") -> Column:
     """Truth of "this text is exactly one JSON object" (never NULL), after parse_text."""
-    document = F.col(DOCUMENT)
-    is_object = rules.type_at(document, "$", RECORD).startswith("OBJECT<")
-    return json_text.is_whole(document, F.col(text)) & F.coalesce(is_object, F.lit(False))
+    found = F.schema_of_variant(F.try_variant_get(DOCUMENT, RECORD, "variant"))
+    is_object = F.coalesce(found.startswith("OBJECT<"), F.lit(False))
+    return json_text.is_whole(F.col(DOCUMENT), F.col(text)) & is_object
 
 
 def find_violations(
@@ -57,16 +47,12 @@ def find_violations(
     most one per path.  Extra keys are legal.  ``text`` names the text the document was
     parsed from; None for values that came out of a document already.
     """
-    source, verdicts = F.col(document), F.col(_VERDICTS)
-    whole = F.lit(True) if text is None else json_text.is_whole(source, F.col(text))
-    accepted = whole & rules.is_object(source, verdicts, "$", part, extended, at)
-    found = (
-        F.when(~accepted, rules.breach("$", "json_object"))
-        .when(rules.all_fine(verdicts, part, extended), rules.no_breach())
-        .otherwise(rules.breaches(source, verdicts, part, extended, at))
-    )
-    leaves = parsed.withColumn(_VERDICTS, rules.leaf_verdicts(source, part, extended, at))
-    return once(leaves, name, found).drop(_VERDICTS)
+    rule_set = rules.RuleSet(document, part, extended, at, _VERDICTS)
+    accepted = rule_set.is_object()
+    if text is not None:
+        accepted = json_text.is_whole(F.col(document), F.col(text)) & accepted
+    leaves = parsed.withColumn(_VERDICTS, rule_set.verdicts())
+    return once(leaves, name, rule_set.violations(accepted)).drop(_VERDICTS)
 
 
 def check_records(
@@ -96,20 +82,20 @@ def extra_keys(part: str = ROOT, extended: bool = False) -> Column:
     """ARRAY<STRING> of the paths of undeclared keys at every level, after parse_text."""
     found = []
     for path, declared in rules.object_paths(part, extended).items():
-        undeclared = undeclared_keys(F.col(DOCUMENT), rules.moved(path, RECORD), declared)
-        found.append(_below(path, undeclared))
-    return F.flatten(F.array(*found))
+        undeclared = _undeclared_keys(f"`{DOCUMENT}`", rules.moved(path, RECORD), declared)
+        found.append(f"transform({undeclared}, k -> concat('{path}.', k))")
+    return F.expr(f"flatten(array({', '.join(found)}))")
 
 
-def _below(path: str, keys: Column) -> Column:
-    return F.transform(keys, lambda k: F.concat(F.lit(f"{path}."), k))
+def undeclared_keys(document: str, path: str, declared: list[str]) -> Column:
+    """ARRAY<STRING> of an object's keys outside ``declared``; empty for other values."""
+    return F.expr(_undeclared_keys(f"`{document}`", path, declared))
 
 
-def undeclared_keys(document: Column, path: str, declared: list[str]) -> Column:
-    """ARRAY<STRING> of an object's keys outside ``declared``; empty for other values."""
-    keys = F.map_keys(F.try_variant_get(document, path, "map<string,variant>"))
-    known = F.array(*[F.lit(k) for k in declared]).cast("array<string>")
-    return F.coalesce(F.array_except(keys, known), F.array().cast("array<string>"))
+def _undeclared_keys(document: str, path: str, declared: list[str]) -> str:
+    keys = f"map_keys(try_variant_get({document}, '{path}', 'map<string,variant>'))"
+    known = f"cast(array({', '.join(repr(name) for name in declared)}) AS array<string>)"
+    return f"coalesce(array_except({keys}, {known}), cast(array() AS array<string>))"
 
 
 def flatten_record(

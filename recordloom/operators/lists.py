@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recordloom.fields import fields_of
 from recordloom.functions.rules import moved
 from recordloom.operators.check import DOCUMENT, RECORD, find_violations
+from recordloom.operators.once import once
 from recordloom.schema import ddl_of
 
 
@@ -25,7 +26,8 @@ def list_items(
     """
     items = F.try_variant_get(document, moved(path, at), "array<variant>")
     explode = F.posexplode_outer if outer else F.posexplode
-    return parsed.select(*keep, explode(items).alias("pos", "item"))
+    listed = once(parsed, "_items", items)
+    return listed.select(*keep, explode("_items").alias("pos", "item"))
 
 
 def check_items(items: DataFrame, part: str, item: str = "item") -> DataFrame:

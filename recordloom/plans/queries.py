@@ -17,6 +17,7 @@ from recordloom.functions import json_text
 from recordloom.functions.chat import chat_messages, sampling_params
 from recordloom.operators import check, lists, measure
 from recordloom.operators.generate import build_requests, fill_slots, generate
+from recordloom.operators.once import once
 from recordloom.schema import json_schema_text
 from recordloom.sinks.jsonl import SINK_COLUMN, read_jsonl, result_rows, sink_rows, write_jsonl
 from recordloom.sinks.staging import scratch_path, stage
@@ -42,44 +43,43 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     """The stand-in's record text per document, built by expressions alone."""
     return fill_slots(documents(spark, folder)).select(
-        "doc_id", F.to_json(template_record(F.col("prompt"))).alias("generated_text")
-    )
-
-
-def damage(text: Column, doc_id: Column) -> Column:
-    """The record text with one of several defects, by document number."""
-
-    def swap(old: str, new: str) -> Column:
-        return F.replace(text, F.lit(old), F.lit(new))
-
-    kinds = [
-        text,
-        F.left(text, F.floor(F.length(text) / 2).cast("int")),
-        swap('"user_goal":', '"aim":'),
-        swap('"requires_diagnostic":', '"requires_diagnostic":"yes","was":'),
-        swap('"difficulty":"', '"difficulty":"Not '),
-        F.concat(text, F.lit(" done")),
-        F.lit(None).cast("string"),
-        swap('"system_context":{', '"system_context":"none","was":{'),
-        swap('"acknowledgement":', '"acknowledgement":null,"said":'),
-        F.concat(F.lit("["), text, F.lit("]")),
-        F.concat(text, F.lit(","), text),
-        F.concat(F.lit("  "), text, F.lit("\n")),
-        swap('"title":', '"title":5,"old_title":'),
-        F.lit(""),
-        swap('"expert_solution_reply":', '"reply":'),
-        swap('"simulated_source":"', '"simulated_source":"The '),
-    ]
-    kind = doc_id % F.lit(len(kinds))
-    out = F.when(kind == 0, kinds[0])
-    for i, damaged in enumerate(kinds[1:], start=1):
-        out = out.when(kind == i, damaged)
-    return out
+        "doc_id", F.to_json(template_record("prompt")).alias("generated_text")
+    )
+
+
+def _swap(old: str, new: str) -> str:
+    return f"replace(generated_text, '{old}', '{new}')"
+
+
+# The record text with one of several defects, by document number.
+_DEFECTS = [
+    "generated_text",
+    "left(generated_text, length(generated_text) div 2)",
+    _swap('"user_goal":', '"aim":'),
+    _swap('"requires_diagnostic":', '"requires_diagnostic":"yes","was":'),
+    _swap('"difficulty":"', '"difficulty":"Not '),
+    "concat(generated_text, ' done')",
+    "NULL",
+    _swap('"system_context":{', '"system_context":"none","was":{'),
+    _swap('"acknowledgement":', '"acknowledgement":null,"said":'),
+    "concat('[', generated_text, ']')",
+    "concat(generated_text, ',', generated_text)",
+    "concat('  ', generated_text, chr(10))",
+    _swap('"title":', '"title":5,"old_title":'),
+    "''",
+    _swap('"expert_solution_reply":', '"reply":'),
+    _swap('"simulated_source":"', '"simulated_source":"The '),
+]
+
+
+def damage() -> Column:
+    cases = " ".join(f"WHEN {i} THEN {sql}" for i, sql in enumerate(_DEFECTS))
+    return F.expr(f"CASE doc_id % {len(_DEFECTS)} {cases} END")
 
 
 def damaged(spark: SparkSession, folder: str) -> DataFrame:
-    return raw(spark, folder).withColumn(
-        "generated_text", damage(F.col("generated_text"), F.col("doc_id"))
+    return once(raw(spark, folder), "_text", damage()).select(
+        "doc_id", F.col("_text").alias("generated_text")
     )
 
 
@@ -115,7 +115,7 @@ def prompt_count(spark: SparkSession, folder: str) -> DataFrame:
 
 def prompt_list_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Prompts out of JSON lists: each document's lines, written as a list."""
-    listed = documents(spark, folder).select(
+    listed = fill_slots(documents(spark, folder)).select(
         "doc_id", F.to_json(F.split("prompt", "\n")).alias("text")
     )
     return explode_prompt_lists(listed, "doc_id").withColumn("pos", F.col("pos").cast("bigint"))
@@ -137,11 +137,10 @@ def prompt_list_check(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 7, F.concat(F.lit("["), good, F.lit("]")))
         .when(kind == 8, F.concat(good, F.lit("\n")))
     )
-    return (
-        documents(spark, folder)
-        .select("doc_id", text.alias("text"))
-        .withColumn("elements", json_text.prompt_list(F.col("text")))
-        .select("doc_id", json_text.is_string_list(F.col("text"), F.col("elements")).alias("ok"))
+    listed = fill_slots(documents(spark, folder)).select("doc_id", text.alias("text"))
+    parsed = once(listed, "elements", json_text.prompt_list(F.col("text")))
+    return parsed.select(
+        "doc_id", json_text.is_string_list(F.col("text"), "elements").alias("ok")
     )
 
 
@@ -276,9 +275,8 @@ def category_difficulty(spark: SparkSession, folder: str) -> DataFrame:
 
 def staged_split(spark: SparkSession, folder: str) -> DataFrame:
     """Both sides of the split from a table that was generated and written once."""
-    text = damage(F.col("generated_text"), F.col("doc_id"))
     staged = stage(
-        _generated(spark, folder).withColumn("generated_text", text).select(
+        _generated(spark, folder).withColumn("generated_text", damage()).select(
             "doc_id", "generated_text"
         )
     )
@@ -359,7 +357,7 @@ def enum_mismatches(spark: SparkSession, folder: str) -> DataFrame:
 
 def props_extra_keys(spark: SparkSession, folder: str) -> DataFrame:
     parsed = table(spark, folder, "events").select("event_id", F.try_parse_json("props").alias("v"))
-    keys = check.undeclared_keys(F.col("v"), "$", ["id"])
+    keys = check.undeclared_keys("v", "$", ["id"])
     return parsed.select("event_id", F.explode(keys).alias("key"))
 
 
@@ -400,9 +398,8 @@ def _fix_step(spark: SparkSession, folder: str) -> DataFrame:
     )
     with_nulls = F.to_json(step, {"ignoreNullFields": "false"})
     text = F.when(number % 5 == 0, with_nulls).otherwise(F.to_json(step))
-    return table(spark, folder, "documents").select(
-        "doc_id", F.try_parse_json(text).alias("item")
-    )
+    rows = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    return fill_slots(rows).select("doc_id", F.try_parse_json(text).alias("item"))
 
 
 def optional_defaults(spark: SparkSession, folder: str) -> DataFrame:
@@ -427,10 +424,9 @@ def _step_lists(spark: SparkSession, folder: str) -> DataFrame:
         ),
     )
     reply = F.struct(F.struct(step.alias("step_by_step_fix")).alias("expert_solution_reply"))
+    rows = table(spark, folder, "documents").select("doc_id", "lang", "text")
     return check.parse_text(
-        table(spark, folder, "documents").select(
-            "doc_id", F.to_json(reply).alias("generated_text")
-        )
+        fill_slots(rows).select("doc_id", F.to_json(reply).alias("generated_text"))
     )
 
 
@@ -469,7 +465,8 @@ def next_step_choices(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_type").alias("interpretation"),
         choice.alias("informs_next_step_type"),
     )
-    items = table(spark, folder, "events").select(
+    rows = table(spark, folder, "events").select("event_id", "event_type", "props")
+    items = fill_slots(rows).select(
         "event_id", F.try_parse_json(F.to_json(step)).alias("item")
     )
     return lists.check_items(items, "DiagnosticStep").select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions import json_text
+from recordloom.operators.once import once
 
 _NOT_A_LIST = "is not a JSON list of strings"
 _REPORTED_FILES = 20
@@ -38,17 +39,16 @@ def explode_prompt_lists(lists: DataFrame, *keep: str, text: str = "text") -> Da
     Verdict and elements come from the row's own text, so nothing is grouped or joined.  A
     row that is not a list of strings stops the query, whichever rows are asked for.
     """
-    elements = F.col("_elements")
-    label = F.concat_ws(" ", *[F.col(k) for k in keep], F.lit(_NOT_A_LIST))
-    prompts = F.when(
-        json_text.is_string_list(F.col(text), elements),
-        F.when(elements.isNotNull() & ~json_text.is_empty_list(F.col(text)),
-               json_text.string_elements(elements)),
-    ).otherwise(F.raise_error(label).cast("array<string>"))
-    return (
-        lists.withColumn("_elements", json_text.prompt_list(F.col(text)))
-        .withColumn("_prompts", prompts)
-        .select(*keep, F.posexplode("_prompts").alias("pos", "prompt"))
+    source = F.col(text)
+    refused = F.concat_ws(" ", *[F.col(k) for k in keep], F.lit(_NOT_A_LIST))
+    prompts = (
+        F.when(~json_text.is_string_list(source, "_elements"), F.raise_error(refused))
+        .when(json_text.is_empty_list(source), F.array().cast("array<string>"))
+        .otherwise(json_text.string_elements("_elements"))
+    )
+    parsed = once(lists, "_elements", json_text.prompt_list(source))
+    return once(parsed, "_prompts", prompts).select(
+        *keep, F.posexplode("_prompts").alias("pos", "prompt")
     )
 
 
@@ -76,9 +76,8 @@ def check_prompt_files(spark: SparkSession, paths: str | list[str]) -> int:
     readers skip, are found by comparing with the file listing.
     """
     files = _files(spark, paths)
-    verdict = json_text.is_string_list(F.col("text"), F.col("_elements"))
-    checked = files.withColumn("_elements", json_text.prompt_list(F.col("text"))).select(
-        "path", verdict.alias("ok")
+    checked = once(files, "_elements", json_text.prompt_list(F.col("text"))).select(
+        "path", json_text.is_string_list(F.col("text"), "_elements").alias("ok")
     )
     totals = checked.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("bad")
