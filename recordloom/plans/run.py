@@ -11,6 +11,7 @@ from typing import Any
 from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.backends.base import BackendFactory
 from recordloom.functions.chat import DEFAULT_SYSTEM_TEXT
@@ -138,7 +139,12 @@ def run(
 
 def read_records(spark: SparkSession, result: RunResult) -> DataFrame:
     """The checked records of a run; filters on ``is_valid`` prune whole folders."""
-    return spark.read.parquet(result.records_path)
+    found = spark.read.parquet(result.records_path).schema
+    # A folder name carries no type, so is_valid would come back as text.
+    typed = [
+        T.StructField(f.name, T.BooleanType()) if f.name == "is_valid" else f for f in found.fields
+    ]
+    return spark.read.schema(T.StructType(typed)).parquet(result.records_path)
 
 
 def _save_settings(spark: SparkSession, config: RunConfig, folder: str) -> None:
