@@ -45,26 +45,40 @@ def _options(field: Field) -> tuple[Any, ...]:
     return CHOICES.get(field.name) or ANSWERS[field.name]
 
 
+def _encoded(value: Any) -> str:
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
+def _pieces(part: str = ROOT) -> list[str | list[str] | None]:
+    """The record's text in pieces: fixed text, lists to draw from, None for the prompt."""
+    out: list[str | list[str] | None] = []
+    for i, f in enumerate(fields_of(part)):
+        out.append(f'{"," if i else "{"}"{f.name}":')
+        if f.kind == "part":
+            out += _pieces(f.part)
+        elif f.name == REPEATS_PROMPT:
+            out.append(None)
+        else:
+            out.append([_encoded(option) for option in _options(f)])
+    return [*out, "}"]
+
+
+_PIECES = _pieces()
+
+
 def template_text(prompt: str) -> str:
     """Record text for a prompt."""
     digest = hashlib.sha256(prompt.encode("utf-8")).hexdigest()
     at = 0
-
-    def fill(part: str) -> dict[str, Any]:
-        nonlocal at
-        out: dict[str, Any] = {}
-        for f in fields_of(part):
-            if f.kind == "part":
-                out[f.name] = fill(f.part)
-            elif f.name == REPEATS_PROMPT:
-                out[f.name] = prompt
-            else:
-                options = _options(f)
-                out[f.name] = options[int(digest[at : at + 4], 16) % len(options)]
-                at += 4
-        return out
-
-    return json.dumps(fill(ROOT), ensure_ascii=False, separators=(",", ":"))
+    text = []
+    for piece in _PIECES:
+        if piece is None:
+            piece = _encoded(prompt)
+        elif isinstance(piece, list):
+            piece = piece[int(digest[at : at + 4], 16) % len(piece)]
+            at += 4
+        text.append(piece)
+    return "".join(text)
 
 
 def template_record(prompt: str) -> Column:

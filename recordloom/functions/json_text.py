@@ -127,12 +127,21 @@ def json_safe(df: DataFrame, *names: str) -> Column:
     return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
 
 
+# A failed cast is an exception inside the JVM, costly over many rows; the pattern leaves
+# only numbers to the cast.
+_WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+
+
+def _whole_number(text: Column) -> Column:
+    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("bigint"))
+
+
 def tolerant_int(text: Column) -> Column:
     """Integer value of a setting's text, NULL where it is not one; 0 counts as unset."""
-    return F.nullif(text.try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.nullif(_whole_number(text), F.lit(0).cast("bigint"))
 
 
 def is_bad_int(text: Column) -> Column:
     """True where a setting is given but is no integer (a warning, not an error)."""
     given = F.coalesce(text != "", F.lit(False))
-    return given & text.try_cast("bigint").isNull()
+    return given & _whole_number(text).isNull()

@@ -84,11 +84,12 @@ def damaged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _requests(spark: SparkSession, folder: str, **sampling: int) -> DataFrame:
+    """Requests with the document number alone; the prompt travels in its messages."""
     return build_requests(
         fill_slots(documents(spark, folder)),
         schema_text=json_schema_text(),
         **({"max_tokens": WHOLE} | sampling),
-    )
+    ).drop("prompt", "schema_id")
 
 
 def _generated(spark: SparkSession, folder: str) -> DataFrame:

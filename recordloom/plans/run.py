@@ -71,7 +71,7 @@ def run(
     dealt over a few tasks per replica.  Below the run's folder::
 
         settings/   the run's settings, written before any model runs
-        records/    checked records, partitioned by is_valid
+        records/    checked records, partitioned by is_valid; text of rejected ones only
         output/     JSON Lines of every generated text
 
     Any failure raises; an output path that exists or cannot be written fails at once.
@@ -117,7 +117,11 @@ def run(
     raw_path = f"{base.rstrip('/')}/raw-{uuid.uuid4().hex}"
     raw = stage(generated, raw_path)
 
-    checked, checks = check_counted(check_records(raw), "checked")
+    # Valid rows hold the parsed record; their text stays in the raw and the saved rows.
+    rejected_text = F.when(~F.col("is_valid"), F.col("generated_text"))
+    checked, checks = check_counted(
+        check_records(raw).withColumn("generated_text", rejected_text), "checked"
+    )
     checked.write.mode("errorifexists").partitionBy("is_valid").parquet(f"{folder}/records")
 
     saved, written = counted(sink_rows(result_rows(raw)), "saved")

@@ -1,10 +1,11 @@
+import pyarrow as pa
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from recordloom.backends.base import Generation
 from recordloom.backends.template import TemplateBackend, template_record, template_text
-from recordloom.operators.generate import build_requests, fill_slots, generate, spread
+from recordloom.operators.generate import _to_python, build_requests, fill_slots, generate, spread
 from recordloom.sinks.staging import stage
 
 
@@ -162,3 +163,20 @@ def test_spreading(spark):
     # Equal prompts do not meet in one task.
     equal = spark.range(100, numPartitions=1).select(F.lit("same").alias("prompt"))
     assert max(len(p) for p in spread(equal, 5).rdd.glom().collect()) <= 21
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [None, [], [{"a": 1}, None, {"a": None}]],
+        [None, {"a": [1, None]}, {"a": None}],
+        [{"a": {"b": "x"}}, {"a": None}, {"a": {"b": None}}],
+        ["x", None],
+        [],
+    ],
+)
+def test_nested_columns_become_python_rows(rows):
+    column = pa.array(rows)
+    for start in range(len(rows) + 1):
+        part = column.slice(start)
+        assert _to_python(part) == part.to_pylist()
