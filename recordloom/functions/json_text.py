@@ -16,16 +16,18 @@ def whole_document(text: Column) -> Column:
 
     Spark's parsers stop at the end of the first value and ignore what follows.  The
     text is therefore read as the first element of a two-element array whose second
-    element is the text's own digest: only when the text is exactly one JSON value does
-    the digest arrive in second place (see :func:`is_whole`).
+    element is the text's own hash: only when the text is exactly one JSON value does
+    the hash arrive in second place (see :func:`is_whole`).
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
+    return F.try_parse_json(
+        F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
+    )
 
 
 def is_whole(document: Column, text: Column) -> Column:
     """True when ``document`` (from :func:`whole_document`) covers all of ``text``."""
     return F.coalesce(
-        F.try_variant_get(document, "$[1]", "string") == F.md5(text), F.lit(False)
+        F.try_variant_get(document, "$[1]", "bigint") == F.xxhash64(text), F.lit(False)
     )
 
 

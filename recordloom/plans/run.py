@@ -122,7 +122,7 @@ def run(
     checked, checks = check_counted(
         check_records(raw).withColumn("generated_text", rejected_text), "checked"
     )
-    checked.write.mode("errorifexists").partitionBy("is_valid").parquet(f"{folder}/records")
+    stage(checked, f"{folder}/records", partition_by=["is_valid"])
 
     saved, written = counted(sink_rows(result_rows(raw)), "saved")
     write_jsonl(saved, f"{folder}/output")

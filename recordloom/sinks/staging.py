@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,13 +28,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, path: str | None = None) -> DataFrame:
+def stage(
+    df: DataFrame, path: str | None = None, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Write ``df`` as Parquet and return the table read back.
 
     Model calls in ``df`` run once, however many consumers follow, and a lost executor
-    costs later steps nothing but a re-read.  An existing path is an error.
+    costs later steps nothing but a re-read.  ``partition_by`` gives each value a folder
+    of its own, so that filters on it read nothing else.  An existing path is an error.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "staged")
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
