@@ -54,11 +54,11 @@ def _text(value: str) -> str:
 
 
 class RuleSet:
-    """The rules of one part over a VARIANT column.
+    """The rules of one part over a VARIANT column, in three steps.
 
-    ``verdicts`` (one number per leaf) is small enough for the JVM to compile together
-    with the parse, and decides about most records.  ``violations`` adds what the others
-    need: objects, and fields of objects that are not there.
+    ``leaf_verdicts`` gives one number per leaf and decides about most records;
+    ``all_verdicts`` adds the objects where needed.  Both are small enough for the JVM to
+    compile together with the parse.  ``violations`` turns numbers into paths and rules.
     """
 
     def __init__(
@@ -67,34 +67,63 @@ class RuleSet:
         part: str = ROOT,
         extended: bool = False,
         at: str = "$",
-        verdicts: str = "_verdicts",
+        leaf_column: str = "_leaves",
+        all_column: str = "_verdicts",
     ):
         self.document = f"`{document}`"
         self.at = at
-        self.verdicts_column = f"`{verdicts}`"
+        self.leaf_column = f"`{leaf_column}`"
+        self.all_column = f"`{all_column}`"
         self.rules = rules_of(part, extended)
         self.leaves = [r for r in self.rules if r.field.kind != "part"]
+        self.objects = [r for r in self.rules if r.field.kind == "part"]
 
     # Column expressions
 
-    def verdicts(self) -> Column:
+    def leaf_verdicts(self) -> Column:
         """ARRAY<INT>: what is wrong with each leaf."""
         return F.expr(f"array({', '.join(self._leaf(r) for r in self.leaves)})")
 
     def is_object(self) -> Column:
         """True when the value at ``at`` is an object (never NULL)."""
-        return F.expr(self._is_object("$"))
+        return F.expr(f"{self._object('$')} = {FINE}")
 
-    def violations(self, accepted: Column) -> Column:
-        """ARRAY<STRUCT<path, rule>>; ``json_object`` alone where not ``accepted``."""
-        refused = F.expr("array(named_struct('path', '$', 'rule', 'json_object'))")
+    def all_verdicts(self, accepted: Column) -> Column:
+        """ARRAY<INT> of leaves, then objects; empty when all is fine, NULL if not accepted."""
         fine = ", ".join([str(FINE)] * len(self.leaves))
-        none = "cast(array() AS array<struct<path: string, rule: string>>)"
-        return F.when(~accepted, refused).otherwise(
+        objects = ", ".join(self._object(r.path) for r in self.objects)
+        return F.when(
+            accepted,
             F.expr(
-                f"CASE WHEN {self.verdicts_column} = array({fine}) THEN {none} "
-                f"ELSE {self._breaches()} END"
-            )
+                f"CASE WHEN {self.leaf_column} = array({fine}) THEN cast(array() AS array<int>) "
+                f"ELSE concat({self.leaf_column}, cast(array({objects}) AS array<int>)) END"
+            ),
+        )
+
+    def violations(self) -> Column:
+        """ARRAY<STRUCT<path, rule>>, at most one per path, in declared order.
+
+        ``json_object`` alone where the record was not accepted.  Fields of a missing or
+        misplaced object are not reported on their own.
+        """
+        places = {r.path: i for i, r in enumerate(self.leaves + self.objects)}
+        listed = ", ".join(
+            f"named_struct('path', '{r.path}', 'own', {places[r.path]}, "
+            f"'above', {places.get(r.parent, -1)})"
+            for r in self.rules
+        )
+        own = f"{self.all_column}[r.own]"
+        hidden = f"{own} = {MISSING} AND r.above >= 0 AND {self.all_column}[r.above] <> {FINE}"
+        found = f"filter(array({listed}), r -> {own} <> {FINE} AND NOT ({hidden}))"
+        named = (
+            f"transform({found}, r -> named_struct('path', r.path, 'rule', CASE {own} "
+            f"WHEN {MISSING} THEN 'required' WHEN {WRONG_TYPE} THEN 'type' ELSE 'enum' END))"
+        )
+        return F.expr(
+            f"CASE WHEN {self.all_column} IS NULL "
+            "THEN array(named_struct('path', '$', 'rule', 'json_object')) "
+            f"WHEN size({self.all_column}) = 0 "
+            f"THEN cast(array() AS array<struct<path: string, rule: string>>) ELSE {named} END"
         )
 
     # SQL pieces
@@ -144,44 +173,20 @@ class RuleSet:
             f"coalesce(forall({items}, e -> schema_of_variant(e) = 'STRING'), false))"
         )
 
-    def _is_object(self, path: str) -> str:
-        """A leaf that was found proves every object above it.
+    def _object(self, path: str) -> str:
+        """Verdict of an object.
 
-        The type of the object itself describes its whole content; it is looked up only
-        where that leaf is missing.
+        A leaf that was found proves every object above it.  The type of the object
+        itself describes its whole content; it is looked up only where that leaf is
+        missing.
         """
-        looked_up = f"coalesce({self._type(path)} LIKE 'OBJECT<%', false)"
+        found = self._type(path)
+        cases = [
+            f"WHEN {found} IS NULL THEN {MISSING}",
+            f"WHEN {found} LIKE 'OBJECT<%' THEN {FINE}",
+        ]
         for i, leaf in enumerate(self.leaves):
             if leaf.path.startswith(f"{path}.") and not leaf.field.optional:
-                return (
-                    f"CASE WHEN {self.verdicts_column}[{i}] <> {MISSING} THEN true "
-                    f"ELSE {looked_up} END"
-                )
-        return looked_up
-
-    def _breaches(self) -> str:
-        """Violations of an object, at most one per path, in declared order.
-
-        Fields of a missing or misplaced object are not reported on their own.
-        """
-        places = {r.path: i for i, r in enumerate(self.leaves)}
-        entries = []
-        for rule in self.rules:
-            if rule.field.kind == "part":
-                verdict = (
-                    f"CASE WHEN {self._is_object(rule.path)} THEN {FINE} "
-                    f"WHEN {self._type(rule.path)} IS NULL THEN {MISSING} ELSE {WRONG_TYPE} END"
-                )
-            else:
-                verdict = f"{self.verdicts_column}[{places[rule.path]}]"
-            if rule.parent != "$":
-                verdict = (
-                    f"CASE WHEN {verdict} = {MISSING} AND NOT {self._is_object(rule.parent)} "
-                    f"THEN {FINE} ELSE {verdict} END"
-                )
-            entries.append(f"named_struct('path', '{rule.path}', 'verdict', {verdict})")
-        return (
-            f"transform(filter(array({', '.join(entries)}), b -> b.verdict <> {FINE}), b -> "
-            f"named_struct('path', b.path, 'rule', CASE b.verdict WHEN {MISSING} THEN 'required' "
-            f"WHEN {WRONG_TYPE} THEN 'type' ELSE 'enum' END))"
-        )
+                cases.insert(0, f"WHEN {self.leaf_column}[{i}] <> {MISSING} THEN {FINE}")
+                break
+        return f"CASE {' '.join(cases)} ELSE {WRONG_TYPE} END"

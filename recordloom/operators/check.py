@@ -14,7 +14,7 @@ from recordloom.operators.once import once
 from recordloom.schema import ddl_of, leaf_paths
 
 DOCUMENT = "_document"
-_VERDICTS = "_verdicts"
+_LEAVES, _VERDICTS = "_leaves", "_verdicts"
 # Where the record sits in the document (see json_text.whole_document).
 RECORD = "$[0]"
 
@@ -47,12 +47,14 @@ def find_violations(
     most one per path.  Extra keys are legal.  ``text`` names the text the document was
     parsed from; None for values that came out of a document already.
     """
-    rule_set = rules.RuleSet(document, part, extended, at, _VERDICTS)
+    rule_set = rules.RuleSet(document, part, extended, at, _LEAVES, _VERDICTS)
     accepted = rule_set.is_object()
     if text is not None:
         accepted = json_text.is_whole(F.col(document), F.col(text)) & accepted
-    leaves = parsed.withColumn(_VERDICTS, rule_set.verdicts())
-    return once(leaves, name, rule_set.violations(accepted)).drop(_VERDICTS)
+    judged = parsed.withColumn(_LEAVES, rule_set.leaf_verdicts()).withColumn(
+        _VERDICTS, rule_set.all_verdicts(accepted)
+    )
+    return once(judged.drop(_LEAVES), name, rule_set.violations()).drop(_VERDICTS)
 
 
 def check_records(
