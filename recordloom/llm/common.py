@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,22 +33,7 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.length(marks), F.lit(0)).cast("long")
 
 
-def uniform(*columns: Column) -> Column:
-    """A number in [0, 1) that depends on the columns alone."""
-    return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
-
-
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """Without the columns that the operator is about to add under the same names."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
-
-
-def fresh(name: str) -> str:
-    """A column name that no table has."""
-    return f"_{name}_{uuid.uuid4().hex[:8]}"
-
-
-def workers(spark: SparkSession) -> int:
-    """Task slots of the session, for splitting work that has no natural partitions."""
-    return max(spark.sparkContext.defaultParallelism, os.cpu_count() or 1)

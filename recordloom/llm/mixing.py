@@ -4,12 +4,13 @@ Every source has a target of words.  All its documents get the same expected num
 copies, target / size; the whole part is certain and the fractional part is rounded by
 pairs: two open documents move word mass between them, at random and without changing their
 sum or either expectation, until one of them has a whole number of copies.  The other
-one stays open and meets the next.  So a source's mix misses its target by less than the
-size of one document, whatever the number of documents.
+one stays open and meets the next.  So a source's mix misses its target by half the
+size of one document at most, whatever the number of documents.
 
 The pairing is a reduction tree: rounding runs inside groups of about ``FAN`` open
 documents, each group hands one open document on, and these form the groups of the next
-level, until one per source is left and is rounded alone.  Groups are small by construction,
+level, until one per source is left and is rounded to the nearer side.  Long documents come
+first in a group, so that the one left open tends to be short.  Groups are small by construction,
 also in a source that holds most rows.  Each level is staged.  All random numbers are
 hashes of ids, so reruns agree.
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import keep, uniform, without, word_count
+from recordloom.llm.common import keep, without, word_count
 
 WEIGHTS = 3
 CEILING = 3
@@ -83,12 +84,12 @@ transform(array(named_struct(
     'po', t.o.p + t.d / t.o.size, 'px', t.x.p - t.d / t.x.size)), r ->
     CASE WHEN r.po < {_EXACT} OR r.po > 1 - {_EXACT}
     THEN named_struct(
-        'open', named_struct('h', r.x.h, 'id', r.x.id, 'key', r.x.key, 'size', r.x.size,
+        'open', named_struct('first', r.x.first, 'h', r.x.h, 'id', r.x.id, 'key', r.x.key, 'size', r.x.size,
                              'p', r.px),
         'done', array(named_struct('id', r.o.id, 'key', r.o.key, 'size', r.o.size,
                                    'up', r.po > 0.5)))
     ELSE named_struct(
-        'open', named_struct('h', r.o.h, 'id', r.o.id, 'key', r.o.key, 'size', r.o.size,
+        'open', named_struct('first', r.o.first, 'h', r.o.h, 'id', r.o.id, 'key', r.o.key, 'size', r.o.size,
                              'p', r.po),
         'done', array(named_struct('id', r.x.id, 'key', r.x.key, 'size', r.x.size,
                                    'up', r.px > 0.5)))
@@ -139,7 +140,8 @@ def round_copies(
     level_rows = rows.where(~settled).select(
         *carried, F.pmod(h, groups).alias("slot"),
         F.struct(
-            F.xxhash64(h, F.lit(1)).alias("h"), "id", "key", "size", "p"
+            (-F.col("size")).alias("first"), F.xxhash64(h, F.lit(1)).alias("h"),
+            "id", "key", "size", "p",
         ).alias("doc"),
     )
     n, level = most or 0, 0
@@ -158,7 +160,7 @@ def round_copies(
         if n == 1:
             n = 0
         if not n:
-            last = uniform(F.col("open.key"), F.col("open.id"), F.lit(-1)) < F.col("open.p")
+            last = F.col("open.p") >= 0.5
             done.append(
                 folded.select(
                     "open.id", "open.key", "open.size", last.alias("up"), *carried

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.common import read
 from recordloom.llm.exact_dedup import OP6_SQL, ExactDedup
+from recordloom.llm.language import held_out, identify
 from recordloom.llm.mixing import mix
 from recordloom.llm.packing import pack
+from recordloom.llm.simhash import hexadecimal, near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,12 +30,30 @@ def op4_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents).drop("text")
 
 
+def op5_hierarchical_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = identify(documents)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op6_bloom_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return ExactDedup(read(spark, folder, "documents")).decisions()
 
 
+def op10_pigeonring_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(read(spark, folder, "documents"))
+    return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_pivotal_mix, op4_length_buckets, op6_bloom_exact_dedup)
+    f.__name__: f
+    for f in (
+        op2_pivotal_mix,
+        op4_length_buckets,
+        op5_hierarchical_language,
+        op6_bloom_exact_dedup,
+        op10_pigeonring_simhash,
+    )
 }
 
 ORACLES: dict[str, str] = {"op6_bloom_exact_dedup": OP6_SQL}
