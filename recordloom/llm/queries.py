@@ -11,12 +11,25 @@ from recordloom.llm.common import read
 from recordloom.llm.exact_dedup import OP6_SQL, ExactDedup
 from recordloom.llm.language import held_out, identify
 from recordloom.llm.mixing import mix
+from recordloom.llm.neighbours import nearest
 from recordloom.llm.packing import pack
+from recordloom.llm.pii import find
+from recordloom.llm.scoring import OP1_SQL, score
 from recordloom.llm.simhash import hexadecimal, near_duplicates
+from recordloom.llm.urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """How close every document is to those that are labelled good and not toxic."""
+    labels = read(spark, folder, "labels")
+    target = labels.where("quality = 1 AND toxic = 0").select("doc_id")
+    found = score(read(spark, folder, "documents").select("doc_id", "text"), target)
+    rounded = [F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")]
+    return found.select("doc_id", "n_words", *rounded)
+
+
 def op2_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
     plan = mix(read(spark, folder, "documents"))
     return plan.select(
@@ -25,6 +38,10 @@ def op2_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").select("doc_id", "text")
     return pack(documents).drop("text")
@@ -40,6 +57,14 @@ def op6_bloom_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return ExactDedup(read(spark, folder, "documents")).decisions()
 
 
+def op7_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return find(read(spark, folder, "documents"))
+
+
+def op8_boosted_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(read(spark, folder, "pages").select("page_id", "url")).drop("url")
+
+
 def op10_pigeonring_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(read(spark, folder, "documents"))
     return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
@@ -48,12 +73,19 @@ def op10_pigeonring_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_cross_entropy_difference,
         op2_pivotal_mix,
+        op3_collision_counting,
         op4_length_buckets,
         op5_hierarchical_language,
         op6_bloom_exact_dedup,
+        op7_bootstrapped_pii,
+        op8_boosted_url_filter,
         op10_pigeonring_simhash,
     )
 }
 
-ORACLES: dict[str, str] = {"op6_bloom_exact_dedup": OP6_SQL}
+ORACLES: dict[str, str] = {
+    "op1_cross_entropy_difference": OP1_SQL,
+    "op6_bloom_exact_dedup": OP6_SQL,
+}
