@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import without, word_count
+from recordloom.operators.once import once
 
 N_BUCKETS = 12
 TOKEN_BUDGET = 32_768
@@ -84,7 +85,7 @@ def pack(
 ) -> DataFrame:
     """The rows with length, bucket, bucket_length, batch_id and slot (place in the batch)."""
     df = without(df, ADDED)
-    rows = df.withColumn("_length", word_count(F.col(text_col)))
+    rows = once(df, "_length", word_count(F.col(text_col)))
     rows = rows.withColumn("_class", length_class(F.col("_length")))
     histogram = rows.groupBy("_class").count().orderBy("_class").collect()
     bounds = best_bounds(
