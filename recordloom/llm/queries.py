@@ -14,6 +14,7 @@ from recordloom.llm.mixing import mix
 from recordloom.llm.neighbours import nearest
 from recordloom.llm.packing import pack
 from recordloom.llm.pii import find
+from recordloom.llm.repeats import remove_repeats
 from recordloom.llm.scoring import OP1_SQL, score
 from recordloom.llm.simhash import hexadecimal, near_duplicates
 from recordloom.llm.urls import judge
@@ -65,6 +66,10 @@ def op8_boosted_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge(read(spark, folder, "pages").select("page_id", "url")).drop("url")
 
 
+def op9_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(read(spark, folder, "documents"))
+
+
 def op10_pigeonring_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(read(spark, folder, "documents"))
     return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
         op6_bloom_exact_dedup,
         op7_bootstrapped_pii,
         op8_boosted_url_filter,
+        op9_suffix_repeats,
         op10_pigeonring_simhash,
     )
 }
