@@ -24,7 +24,9 @@ def keep(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "llm")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.kept_path = path
+    return table
 
 
 def word_count(text: Column) -> Column:
@@ -37,3 +39,10 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     """Without the columns that the operator is about to add under the same names."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``keep`` wrote, once all that read it is written itself."""
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(table.kept_path)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import keep
+from recordloom.llm.common import discard, keep
 from recordloom.shipping import ship_package
 
 LENGTH = 200
@@ -145,8 +145,8 @@ def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                         pa.array(np.full(n, k.as_py())),
                         pa.array(np.full(n, part["name"])),
                         pa.array(suffixes),
-                        pa.array(np.arange(a, b)),
-                        pa.array(np.full(n, part["weight"])),
+                        pa.array(np.arange(a, b, dtype=np.int32)),
+                        pa.array(np.full(n, part["weight"], dtype=np.int32)),
                     ],
                     names=["k", "name", "suffix", "start", "weight"],
                 )
@@ -223,6 +223,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ).select("k", F.col("b.names").alias("name"), F.col("b.contents").alias("content"),
              F.col("b.first").cast("int").alias("first"), F.col("b.last").cast("int").alias("last"))
     rows = keep(_flagged(rows, "name", twice, "maybe").where("maybe").drop("maybe"))
+    discard(per_text)
     contents = keep(
         rows.groupBy("name", "content").agg(
             F.count("*").alias("n"), F.min(F.struct("k", "first", "last")).alias("one")
@@ -232,7 +233,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole = keep(contents.where("n > 1").select("name", "content"))
     spans = rows.join(whole, ["name", "content"]).select(
         "k", F.col("first").alias("s"), (F.col("last") + LENGTH).alias("e")
-    )
+    ).distinct()
     # Prefixes with several block contents.
     several = keep(contents.groupBy("name").count().where("count > 1").select("name"))
     asked = contents.join(several, "name").select(
@@ -245,18 +246,23 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = needed.select("k", "text").dropDuplicates(["k"]).join(asked, "k")
     suffixes = keep(
         joined.select("k", "text", "asked").mapInArrow(
-            _window_batches, "k long, name long, suffix long, start long, weight long"
+            _window_batches, "k long, name long, suffix long, start int, weight int"
         )
     )
     again = keep(
         suffixes.groupBy("name", "suffix").agg(F.sum("weight").alias("n")).where("n > 1")
         .select("name", "suffix")
     )
-    induced = suffixes.where("weight = 1").join(again, ["name", "suffix"])
+    single = suffixes.where("weight = 1").withColumn("both", F.xxhash64("name", "suffix"))
+    keys = again.select(F.xxhash64("name", "suffix").alias("both"))
+    single = _flagged(single, "both", keys, "maybe").where("maybe")
+    induced = single.select("k", "name", "suffix", "start").join(again, ["name", "suffix"])
     spans = spans.unionByName(
         induced.select("k", F.col("start").alias("s"), (F.col("start") + LENGTH).alias("e"))
     )
-    cuts = keep(spans.distinct().groupBy("k").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
+    cuts = keep(spans.groupBy("k").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
+    discard(suffixes)
+    discard(rows)
     marked = _flagged(texts, "k", cuts.select("k"), "maybe")
     cut_rows = marked.where("maybe").join(cuts, "k", "left").select("id", "text", "spans")
     columns = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
