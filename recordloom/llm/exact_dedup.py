@@ -68,21 +68,21 @@ class ExactDedup:
             _word(sha, self.n_words).alias("word"), _bits(sha).alias("bits")
         )
         twice = seen.groupBy("word", "bits").count().where("count > 1")
-        return twice.groupBy("word").agg(F.bit_or("bits").alias("held"))
+        return twice.groupBy(F.col("word").alias("_f_word")).agg(F.bit_or("bits").alias("_f_held"))
 
     def _flag(self, df: DataFrame, sha: Column) -> DataFrame:
-        """Adds ``maybe``: whether the filter holds the digest."""
-        probe = df.withColumn("_word", _word(sha, self.n_words))
-        found = probe.join(F.broadcast(self.filter), F.col("_word") == F.col("word"), "left")
+        """Adds ``_f_maybe``: whether the filter holds the digest."""
+        probe = df.withColumn("_f_at", _word(sha, self.n_words))
+        found = probe.join(F.broadcast(self.filter), F.col("_f_at") == F.col("_f_word"), "left")
         bits = _bits(sha)
-        maybe = F.coalesce(F.col("held").bitwiseAND(bits) == bits, F.lit(False))
-        return found.withColumn("maybe", maybe).drop("_word", "word", "held")
+        maybe = F.coalesce(F.col("_f_held").bitwiseAND(bits) == bits, F.lit(False))
+        return found.withColumn("_f_maybe", maybe).drop("_f_at", "_f_word", "_f_held")
 
     def _decide(self) -> DataFrame:
         """Id, digest, row count, smallest id and group size of rows that may have an equal."""
         rows = (
             self._flag(self.hashes, F.col("sha"))
-            .where("maybe")
+            .where("_f_maybe")
             .groupBy("sha", "id")
             .agg(F.count("*").alias("m"))
             .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
@@ -98,7 +98,7 @@ class ExactDedup:
 
     def decisions(self) -> DataFrame:
         """One row per row of the table: id, keep_id, group_size, kept, text_sha256."""
-        plain = self._flag(self.hashes, F.col("sha")).where("NOT maybe")
+        plain = self._flag(self.hashes, F.col("sha")).where("NOT _f_maybe")
         plain = plain.select(
             "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
             F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"),
@@ -113,7 +113,7 @@ class ExactDedup:
 
     def survivors(self) -> DataFrame:
         """The rows that stay, with all their columns."""
-        df = without(self.df, ["_sha", "_keep_sha", "_word", "word", "held", "maybe"])
+        df = without(self.df, ["_sha", "_keep_sha", "_keep_id", "_f_at", "_f_word", "_f_held", "_f_maybe"])
         rows = self._flag(
             df.withColumn("_sha", digest(F.col(self.text_col))), F.col("_sha")
         )
@@ -121,11 +121,11 @@ class ExactDedup:
         kept = kept.select(F.col("sha").alias("_keep_sha"), F.col("id").alias("_keep_id"))
         own = F.col(self.id_col).eqNullSafe(F.col("_keep_id"))
         several = (
-            rows.where("maybe")
+            rows.where("_f_maybe")
             .join(kept, (F.col("_sha") == F.col("_keep_sha")) & own, "left_semi")
             .dropDuplicates(["_sha"])
         )
-        return rows.where("NOT maybe").unionByName(several).select(
+        return rows.where("NOT _f_maybe").unionByName(several).select(
             *[F.col(f"`{c}`") for c in df.columns]
         )
 
