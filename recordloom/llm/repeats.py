@@ -46,8 +46,8 @@ PREFIX = 64
 _PIECE = 1 << 21
 _PLACE_BITS = np.uint64(23)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_ROWS_PER_WORD = 4
-_MAX_WORDS = 1 << 24
+_ROWS_PER_WORD = 8
+_MAX_WORDS = 1 << 22
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,9 +159,9 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, spans in zip(batch.column(1), batch.column(2)):
             data = text.as_py().encode()
             edges = np.zeros(len(data) + 1, dtype=np.int64)
-            for s in spans.as_py() or ():
-                edges[s["s"]] += 1
-                edges[s["e"]] -= 1
+            if spans.is_valid:
+                np.add.at(edges, spans.values.field("s").to_numpy(), 1)
+                np.add.at(edges, spans.values.field("e").to_numpy(), -1)
             gone = np.cumsum(edges[:-1]) > 0
             rest = np.frombuffer(data, np.uint8)[~gone].tobytes()
             runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) and gone[0])
@@ -188,7 +188,7 @@ def _bits(key: Column) -> Column:
 def _flagged(df: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
     """Adds ``name``: false only where ``key`` is surely not among ``keys``.
 
-    The filter has a word per few keys, ``_MAX_WORDS`` at most: 256 MB if all are in use.
+    The filter has a word per few keys, ``_MAX_WORDS`` at most: 64 MB if all are in use.
     """
     n, words = keys.count(), 1 << 10
     while words < min(n // _ROWS_PER_WORD, _MAX_WORDS):
