@@ -183,7 +183,8 @@ _NEXT = ", ".join(quoted(c) for c in NEXT_STEP_TYPES)
 
 ORACLES: dict[str, str] = {
     "prompts_from_documents": (
-        "SELECT sha256(CAST(doc_id AS VARCHAR)) AS prompt_id, doc_id, text AS prompt FROM documents"
+        "SELECT sha256(CAST(to_json([CAST(doc_id AS VARCHAR)]) AS VARCHAR)) AS prompt_id, doc_id, "
+        "text AS prompt FROM documents"
     ),
     "prompt_count": "SELECT count(*) AS n FROM documents",
     "prompt_list_rows": f"""

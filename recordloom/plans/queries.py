@@ -476,11 +476,9 @@ def next_step_choices(spark: SparkSession, folder: str) -> DataFrame:
     items = fill_slots(rows).select(
         "event_id", F.try_parse_json(F.to_json(step)).alias("item")
     )
-    return lists.check_items(items, "DiagnosticStep").select(
-        "event_id",
-        "is_valid",
-        F.get("violations", F.lit(0))["path"].alias("path"),
-        F.get("violations", F.lit(0))["rule"].alias("rule"),
+    checked = lists.check_items(items, "DiagnosticStep")
+    return checked.select("event_id", "is_valid", F.explode_outer("violations").alias("v")).select(
+        "event_id", "is_valid", "v.path", "v.rule"
     )
 
 

@@ -12,18 +12,23 @@ from pyspark.sql import types as T
 
 from recordloom.functions import json_text
 from recordloom.operators.once import once
+from recordloom.sinks.staging import scratch_path
 
 _NOT_A_LIST = "is not a JSON list of strings"
-_REPORTED_FILES = 20
 
 
 class PromptFileError(ValueError):
-    """Prompt files that are not JSON lists of strings."""
+    """Prompt files that are not JSON lists of strings; ``table`` lists path and reason of all."""
+
+    def __init__(self, n_files: int, table: str):
+        super().__init__(f"{n_files} prompt files are no JSON lists of strings, see {table}")
+        self.n_files = n_files
+        self.table = table
 
 
 def prompt_id(*parts: Column) -> Column:
-    """Stable id of a prompt from what identifies it."""
-    return F.sha2(F.concat_ws("\x1f", *[p.cast("string") for p in parts]), 256)
+    """Stable id of a prompt from what identifies it; a JSON list keeps nulls and parts apart."""
+    return F.sha2(F.to_json(F.array(*[p.cast("string") for p in parts])), 256)
 
 
 def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -70,29 +75,31 @@ def read_prompts(
 
 
 def check_prompt_files(spark: SparkSession, paths: str | list[str]) -> int:
-    """Check every file before any model runs; the number of files, or an error naming bad ones.
+    """Check every file before any model runs; the number of files, or an error.
 
-    A missing path raises Spark's own PATH_NOT_FOUND error.  Empty files, which Spark's
-    readers skip, are found by comparing with the file listing.
+    A missing path raises Spark's own PATH_NOT_FOUND error.  Bad files, empty ones among
+    them (Spark's readers skip those, so they come from the listing that Spark itself
+    holds), are all written to a table that the error names.
     """
     files = _files(spark, paths)
     checked = once(files, "_elements", json_text.prompt_list(F.col("text"))).select(
         "path", json_text.is_string_list(F.col("text"), "_elements").alias("ok")
     )
-    totals = checked.agg(
+    # Listing and scan write the same path with one slash or three.
+    listed = files.inputFiles()
+    one_slash = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/").alias("path")
+    named = spark.createDataFrame([(p,) for p in listed], "path string").select(one_slash)
+    empty = named.join(files.select(one_slash), "path", "left_anti")
+    verdicts = checked.unionByName(empty.select("path", F.lit(False).alias("ok")))
+    totals = verdicts.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("bad")
     ).first()
-    listed = files.inputFiles()
-    bad = checked.where(~F.col("ok")).select("path")
-    if not totals["bad"] and totals["n"] < len(listed):
-        # Listing and scan write the same path with one slash or three.
-        one_slash = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/").alias("path")
-        named = spark.createDataFrame([(p,) for p in listed], "path string").select(one_slash)
-        bad = named.join(files.select(one_slash), "path", "left_anti")
-    if totals["bad"] or totals["n"] < len(listed):
-        names = sorted(r["path"] for r in bad.limit(_REPORTED_FILES).collect())
-        raise PromptFileError("; ".join(f"{path} {_NOT_A_LIST}" for path in names))
-    return len(listed)
+    if totals["bad"]:
+        table = scratch_path(spark, "bad-prompt-files")
+        reason = F.concat_ws(" ", "path", F.lit(_NOT_A_LIST)).alias("reason")
+        verdicts.where(~F.col("ok")).select("path", reason).write.parquet(table)
+        raise PromptFileError(totals["bad"], table)
+    return totals["n"]
 
 
 def prompts_from_table(

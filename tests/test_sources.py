@@ -61,19 +61,32 @@ def test_directory_and_stable_ids(spark, tmp_path):
     assert read_prompts(spark, path, 6).rdd.getNumPartitions() == 6
 
 
+def _named(spark, error):
+    paths = [r["path"] for r in spark.read.parquet(error.table).collect()]
+    assert len(paths) == error.n_files
+    return sorted(p.split("/")[-1].removesuffix(".json") for p in paths)
+
+
 def test_every_bad_file_is_named(spark, tmp_path):
-    path = _write(tmp_path, {**BAD, "fine": '["a"]'})
+    many = {f"bad{i}": "{}" for i in range(30)}
+    path = _write(tmp_path, {**BAD, **many, "fine": '["a"]'})
     with pytest.raises(PromptFileError) as caught:
         check_prompt_files(spark, path)
-    named = {part.split("/")[-1].split(".json")[0] for part in str(caught.value).split("; ")}
-    assert named == set(BAD) - {"nothing"}
+    assert _named(spark, caught.value) == sorted([*BAD, *many])
 
 
 def test_empty_file_is_named(spark, tmp_path):
     path = _write(tmp_path, {"nothing": "", "fine": '["a"]'})
-    with pytest.raises(PromptFileError, match="nothing.json") as caught:
+    with pytest.raises(PromptFileError) as caught:
         check_prompt_files(spark, path)
-    assert "fine.json" not in str(caught.value)
+    assert _named(spark, caught.value) == ["nothing"]
+
+
+def test_ids_tell_nulls_and_separators_apart(spark):
+    rows = [("x", None), (None, "x"), ("a\x1fb", None), ("a", "b"), ('a","b', None), (None, None)]
+    table = spark.createDataFrame([(*r, "t") for r in rows], "a string, b string, t string")
+    ids = prompts_from_table(table, "t", ["a", "b"])
+    assert ids.select("prompt_id").distinct().count() == len(rows)
 
 
 def test_invalid_utf8_is_rejected(spark, tmp_path):
