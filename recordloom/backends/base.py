@@ -1,6 +1,6 @@
 """What a model backend has to offer.
 
-``factory(options)`` is called once per task and returns a backend; ``options`` are the
+``factory(options)`` is called once per worker process and model step and returns a backend; ``options`` are the
 run's model settings, plus ``json_schema`` (schema text) when the run has a schema.  The
 factory must be picklable.  ``generate`` answers a batch in order, one result per request.
 """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterator
 from typing import Any
 
@@ -44,7 +45,7 @@ def build_requests(
 
     A projection, put after any exchange so that only the prompts themselves move.  The
     schema text rides on every row only with ``inline_schema``; otherwise rows carry its
-    digest and :func:`generate` hands the text to the backend once per task.
+    digest and :func:`generate` hands the text to the backend once per worker process.
     """
     return prompts.withColumns(
         {
@@ -100,8 +101,14 @@ def _to_python(column: pa.Array) -> list[Any]:
     return column.to_pylist()
 
 
+# The backend of this worker process and the model step it belongs to.  Spark reuses worker
+# processes, so a model is built once per worker and step instead of once per task; a step
+# with another model takes the place of the last one.
+_built: dict[str, Backend] = {}
+
+
 class _Task:
-    """The function one task runs: create the backend, feed it batches."""
+    """The function one task runs: take the worker's backend, feed it batches."""
 
     def __init__(
         self, factory: BackendFactory, options: dict[str, Any], batch_size: int, on_error: str,
@@ -112,13 +119,17 @@ class _Task:
         self.batch_size = batch_size
         self.on_error = on_error
         self.drop_requests = drop_requests
+        self.step = uuid.uuid4().hex
+
+    def _backend(self) -> Backend:
+        if self.step not in _built:
+            _built.clear()
+            _built[self.step] = self.factory(self.options)
+        return _built[self.step]
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        backend: Backend | None = None
         for batch in batches:
-            if backend is None:
-                backend = self.factory(self.options)
-            yield self._answer_rows(backend, batch)
+            yield self._answer_rows(self._backend(), batch)
 
     def _answer_rows(self, backend: Backend, rows: pa.RecordBatch) -> pa.RecordBatch:
         """One Arrow batch (bounded in rows and bytes by the session) in, one out."""

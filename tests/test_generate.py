@@ -104,6 +104,19 @@ def test_short_answer_is_an_error_even_when_recording(spark):
         generate(build_requests(_prompts(spark, 2)), Short, on_error="record").collect()
 
 
+def test_a_backend_is_built_once_per_worker(spark):
+    built = spark.sparkContext.accumulator(0)
+
+    class Built(TemplateBackend):
+        def __init__(self, options):
+            super().__init__(options)
+            built.add(1)
+
+    requests = build_requests(_prompts(spark, 400, 80))
+    assert len(generate(requests, Built).collect()) == 400
+    assert 1 <= built.value <= spark.sparkContext.defaultParallelism
+
+
 def test_a_lost_task_is_repeated_whole(spark):
     class FailsOnce(TemplateBackend):
         def generate(self, batch):
