@@ -60,10 +60,6 @@ def main() -> None:
         for step, name in RATED.items()
         if name in seconds
     }
-    tokens = {}
-    if "generate_template" in seconds:
-        total = QUERIES["throughput"](spark, folder).first()["n_output_tokens"]
-        tokens["standin_tokens_per_sec"] = round(total / seconds["generate_template"])
     spark.stop()
     print(
         json.dumps(
@@ -74,7 +70,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "documents": n,
-                "rates": rates | tokens,
+                "rates": rates,
             }
         )
     )

@@ -3,9 +3,8 @@
 It is not a model.  It fills the record from a digest of the prompt and repeats the
 prompt as the problem description, so the same prompt always gives the same record.  The
 same record can be written as a Column (:func:`template_record`); both forms give the
-same text, which is how the Python path is checked.
-
-Four characters count as one token.
+same text, which is how the Python path is checked.  The backends imitate nothing of a
+model: one writes that record, the other gives the last message back.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from recordloom.backends.base import Generation, Request
 from recordloom.fields import DIFFICULTIES, ROOT, SIMULATED_SOURCES, Field, fields_of
 
-CHARS_PER_TOKEN = 4
+NO_CONTENT = "request without content"
 
 # What the stand-in may answer per text field; choices and flags come from the record.
 ANSWERS: dict[str, tuple[str, ...]] = {
@@ -109,29 +108,22 @@ def template_record(prompt: str) -> Column:
     return F.expr(fill(ROOT))
 
 
-def tokens_in(n_chars: int) -> int:
-    return -(-n_chars // CHARS_PER_TOKEN)
+class TemplateBackend:
+    """Answers every request with the record text of its last message."""
 
+    def __init__(self, options: dict[str, Any]):
+        pass
 
-class TemplateBackend:
-    """Stand-in backend; honours ``max_tokens`` per request and ``max_model_len``."""
+    def generate(self, batch: list[Request]) -> list[Generation]:
+        return [Generation(template_text(r.messages[-1]["content"]), "stop") for r in batch]
+
+
+class EchoBackend:
+    """Answers with the last message as it is; one without content is a failure."""
 
     def __init__(self, options: dict[str, Any]):
-        self.max_model_len = options.get("max_model_len")
+        pass
 
     def generate(self, batch: list[Request]) -> list[Generation]:
-        return [self._one(request) for request in batch]
-
-    def _one(self, request: Request) -> Generation:
-        prompt = request.messages[-1]["content"]
-        length = tokens_in(len(prompt))
-        if self.max_model_len and length > self.max_model_len:
-            return Generation(
-                None,
-                error=f"prompt of {length} tokens exceeds the model length {self.max_model_len}",
-            )
-        text, reason = template_text(prompt), "stop"
-        room = request.sampling_params["max_tokens"] * CHARS_PER_TOKEN
-        if len(text) > room:
-            text, reason = text[:room], "length"
-        return Generation(text, reason, tokens_in(len(text)))
+        texts = [request.messages[-1]["content"] for request in batch]
+        return [Generation(t, "stop") if t else Generation(None, error=NO_CONTENT) for t in texts]

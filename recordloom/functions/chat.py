@@ -34,14 +34,14 @@ def greedy_top_k(temperature: Column, top_k: Column) -> Column:
 
 def sampling_params(
     temperature: Column | float | None = 0.5,
-    max_tokens: Column | int = 512,
+    max_tokens: Column | int | None = 512,
     top_p: Column | float = 1.0,
     top_k: Column | int = -1,
     schema_text: str | None = None,
 ) -> Column:
     """Sampling STRUCT of a request; every setting may be a column or one value per run.
 
-    A temperature of 0 means greedy choice, for which ``top_p`` and ``top_k`` are
+    No ``max_tokens`` means no limit.  A temperature of 0 means greedy choice, for which ``top_p`` and ``top_k`` are
     switched off.  ``guided_decoding.json`` is filled only when ``schema_text`` is given:
     the model step gets the schema once per task, rows need not carry it.
     """

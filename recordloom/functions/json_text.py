@@ -11,6 +11,15 @@ _JSON_SPACE = " \t\n\r"
 _STRICT_READER = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+# Fixed value: characters that Spark's JSON reader takes as one string.
+LARGEST_TEXT = 100_000_000
+
+
+def is_too_large(text: str) -> str:
+    """SQL: is the named text longer (in bytes) than what is read as one document?"""
+    return f"coalesce(octet_length(`{text}`) > {LARGEST_TEXT}, false)"
+
+
 def whole_document(text: Column) -> Column:
     """VARIANT array holding the parsed text, or NULL / a misfit when it is not JSON.
 
@@ -19,9 +28,8 @@ def whole_document(text: Column) -> Column:
     element is the text's own hash: only when the text is exactly one JSON value does
     the hash arrive in second place (see :func:`is_whole`).
     """
-    return F.try_parse_json(
-        F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
-    )
+    closed = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
+    return F.when(F.octet_length(text) <= LARGEST_TEXT, F.try_parse_json(closed))
 
 
 def is_whole(document: Column, text: Column) -> Column:

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from recordloom.fields import ROOT, Field, fields_of
 
 # Verdict of one leaf, in the order in which a value is looked at.
-FINE, MISSING, WRONG_TYPE, OUTSIDE = 0, 1, 2, 3
+FINE, MISSING, WRONG_TYPE, OUTSIDE, BEYOND = 0, 1, 2, 3, 4
+# Whole numbers from here on (or below the negative) do not fit a BIGINT.
+_LARGEST = "9.223372036854775808E18D"
+_NO_VIOLATIONS = "cast(array() AS array<struct<path: string, rule: string>>)"
 
 
 class Rule(NamedTuple):
@@ -44,6 +47,17 @@ def object_paths(part: str = ROOT, extended: bool = False) -> dict[str, list[str
     return out
 
 
+def list_rules(part: str = ROOT, extended: bool = False) -> list[Rule]:
+    """The rules of lists of records; what is in them is judged item by item."""
+    return [r for r in rules_of(part, extended) if r.field.kind == "parts"]
+
+
+def each_item(document: str, path: str, value: str) -> str:
+    """SQL: ``value`` of each item of the list at ``path``; it may use ``_item`` and ``_i``."""
+    items = f"try_variant_get({document}, '{path}', 'array<variant>')"
+    return f"transform({items}, (_item, _i) -> {value})"
+
+
 def moved(path: str, at: str) -> str:
     """A record path as a path into the VARIANT."""
     return at + path[1:]
@@ -53,6 +67,14 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _rule_name(verdict: str) -> str:
+    """SQL: the rule that a verdict breaks, NULL for none."""
+    return (
+        f"CASE {verdict} WHEN {MISSING} THEN 'required' WHEN {WRONG_TYPE} THEN 'type' "
+        f"WHEN {OUTSIDE} THEN 'enum' WHEN {BEYOND} THEN 'range' END"
+    )
+
+
 class RuleSet:
     """The rules of one part over a VARIANT column, in three steps.
 
@@ -77,6 +99,7 @@ class RuleSet:
         self.rules = rules_of(part, extended)
         self.leaves = [r for r in self.rules if r.field.kind != "part"]
         self.objects = [r for r in self.rules if r.field.kind == "part"]
+        self.lists = list_rules(part, extended)
 
     # Column expressions
 
@@ -100,11 +123,12 @@ class RuleSet:
             ),
         )
 
-    def violations(self) -> Column:
+    def violations(self, refused: str = "'json_object'") -> Column:
         """ARRAY<STRUCT<path, rule>>, at most one per path, in declared order.
 
-        ``json_object`` alone where the record was not accepted.  Fields of a missing or
-        misplaced object are not reported on their own.
+        ``refused`` (SQL) names the only rule where the record was not accepted.  Fields of
+        a missing or misplaced object are not reported on their own.  What is wrong inside
+        lists of records comes last, with positions from 0 in its paths.
         """
         places = {r.path: i for i, r in enumerate(self.leaves + self.objects)}
         listed = ", ".join(
@@ -116,16 +140,36 @@ class RuleSet:
         hidden = f"{own} = {MISSING} AND r.above >= 0 AND {self.all_column}[r.above] <> {FINE}"
         found = f"filter(array({listed}), r -> {own} <> {FINE} AND NOT ({hidden}))"
         named = (
-            f"transform({found}, r -> named_struct('path', r.path, 'rule', CASE {own} "
-            f"WHEN {MISSING} THEN 'required' WHEN {WRONG_TYPE} THEN 'type' ELSE 'enum' END))"
+            f"transform({found}, r -> named_struct('path', r.path, 'rule', {_rule_name(own)}))"
         )
+        nothing, inside = _NO_VIOLATIONS, ""
+        if self.lists:
+            inside = ", ".join(
+                f"coalesce({self._items(r)}, {_NO_VIOLATIONS})" for r in self.lists
+            )
+            nothing, named = f"concat({inside})", f"concat({named}, {inside})"
         return F.expr(
             f"CASE WHEN {self.all_column} IS NULL "
-            "THEN array(named_struct('path', '$', 'rule', 'json_object')) "
-            f"WHEN size({self.all_column}) = 0 "
-            f"THEN cast(array() AS array<struct<path: string, rule: string>>) ELSE {named} END"
+            f"THEN array(named_struct('path', '$', 'rule', {refused})) "
+            f"WHEN size({self.all_column}) = 0 THEN {nothing} ELSE {named} END"
         )
 
+    def _items(self, rule: Rule) -> str:
+        """Violations in the items of one list of records, each with the item's position."""
+        item = RuleSet("_item", rule.field.part)
+        here = f"concat('{rule.path}[', _i, ']')"
+        leaves = ", ".join(
+            f"named_struct('path', concat({here}, '{leaf.path[1:]}'), "
+            f"'rule', {_rule_name(item._leaf(leaf))})"
+            for leaf in item.leaves
+        )
+        judged = (
+            f"CASE WHEN coalesce(schema_of_variant(_item) LIKE 'OBJECT<%', false) "
+            f"THEN filter(array({leaves}), r -> r.rule IS NOT NULL) "
+            f"ELSE array(named_struct('path', {here}, 'rule', 'type')) END"
+        )
+        return f"flatten({each_item(self.document, moved(rule.path, self.at), judged)})"
+
     # SQL pieces
 
     def _get(self, path: str, data_type: str) -> str:
@@ -150,6 +194,12 @@ class RuleSet:
             cases.append(
                 f"WHEN {self._get(rule.path, 'string')} NOT IN ({allowed}) THEN {OUTSIDE}"
             )
+        if rule.field.kind == "whole":
+            number = self._get(rule.path, "double")
+            cases.append(
+                f"WHEN {found} <> 'BIGINT' AND ({number} >= {_LARGEST} OR {number} < -{_LARGEST}) "
+                f"THEN {BEYOND}"
+            )
         return f"CASE {' '.join(cases)} ELSE {FINE} END"
 
     def _fits(self, rule: Rule, found: str) -> str:
@@ -164,7 +214,7 @@ class RuleSet:
             number = self._get(rule.path, "double")
             return (
                 f"({found} = 'BIGINT' OR (({found} LIKE 'DECIMAL(%' OR {found} IN "
-                f"('DOUBLE', 'FLOAT')) AND floor({number}) = {number}))"
+                f"('DOUBLE', 'FLOAT')) AND {number} % 1 = 0))"
             )
         # A list of text: the merged element type would hide nulls among strings.
         items = self._get(rule.path, "array<variant>")

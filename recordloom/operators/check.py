@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.fields import ROOT
+from recordloom.fields import ROOT, fields_of
 from recordloom.functions import json_text, rules
 from recordloom.operators.once import once
 from recordloom.schema import ddl_of, leaf_paths
@@ -43,18 +43,20 @@ def find_violations(
 ) -> DataFrame:
     """Add ``violations`` ARRAY<STRUCT<path, rule>> for a VARIANT column.
 
-    Rules: ``json_object`` (not one whole object), ``required``, ``type`` and ``enum``, at
-    most one per path.  Extra keys are legal.  ``text`` names the text the document was
+    Rules: ``json_object`` (not one whole object), ``too_large`` (a text too long to be read),
+    ``required``, ``type``, ``enum`` and ``range`` (a whole number beyond 64 bits), at
+    most one per path; lists of records are judged item by item.  Extra keys are legal.  ``text`` names the text the document was
     parsed from; None for values that came out of a document already.
     """
     rule_set = rules.RuleSet(document, part, extended, at, _LEAVES, _VERDICTS)
-    accepted = rule_set.is_object()
+    accepted, refused = rule_set.is_object(), "'json_object'"
     if text is not None:
+        refused = f"CASE WHEN {json_text.is_too_large(text)} THEN 'too_large' ELSE {refused} END"
         accepted = json_text.is_whole(F.col(document), F.col(text)) & accepted
     judged = parsed.withColumn(_LEAVES, rule_set.leaf_verdicts()).withColumn(
         _VERDICTS, rule_set.all_verdicts(accepted)
     )
-    return once(judged.drop(_LEAVES), name, rule_set.violations()).drop(_VERDICTS)
+    return once(judged.drop(_LEAVES), name, rule_set.violations(refused)).drop(_VERDICTS)
 
 
 def check_records(
@@ -86,6 +88,12 @@ def extra_keys(part: str = ROOT, extended: bool = False) -> Column:
     for path, declared in rules.object_paths(part, extended).items():
         undeclared = _undeclared_keys(f"`{DOCUMENT}`", rules.moved(path, RECORD), declared)
         found.append(f"transform({undeclared}, k -> concat('{path}.', k))")
+    for rule in rules.list_rules(part, extended):
+        names = [f.name for f in fields_of(rule.field.part)]
+        keys = _undeclared_keys("_item", "$", names)
+        named = f"transform({keys}, k -> concat('{rule.path}[', _i, '].', k))"
+        listed = rules.each_item(f"`{DOCUMENT}`", rules.moved(rule.path, RECORD), named)
+        found.append(f"coalesce(flatten({listed}), cast(array() AS array<string>))")
     return F.expr(f"flatten(array({', '.join(found)}))")
 
 

@@ -68,17 +68,6 @@ def spread(prompts: DataFrame, partitions: int | None) -> DataFrame:
     return prompts if partitions is None else prompts.repartition(partitions)
 
 
-def fill_slots(prompts: DataFrame) -> DataFrame:
-    """Spread a table only if its scan has fewer splits than the session has task slots.
-
-    A small file set read by one or two tasks would leave the other slots idle during the
-    model step; a large table has splits enough and gets no exchange.  ``prompts`` must be
-    a plain scan (no exchange of its own), for which counting splits runs no job.
-    """
-    slots = prompts.sparkSession.sparkContext.defaultParallelism
-    return spread(prompts, slots if prompts.rdd.getNumPartitions() < slots else None)
-
-
 def _to_python(column: pa.Array) -> list[Any]:
     """``column.to_pylist()`` for nested columns, several times faster.
 

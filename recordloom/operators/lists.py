@@ -34,7 +34,7 @@ def check_items(items: DataFrame, part: str, item: str = "item") -> DataFrame:
     """Violations and typed record of each list item, by the rules of ``part``."""
     checked = find_violations(items, part, text=None, document=item, at="$")
     is_valid = F.size("violations") == 0
-    typed = with_defaults(F.try_variant_get(item, "$", ddl_of(part)), part)
+    typed = with_defaults(F.try_variant_get(item, "$", ddl_of(part)), part, item)
     return (
         checked.withColumn("is_valid", is_valid)
         .withColumn("record", F.when(is_valid, typed))
@@ -42,13 +42,17 @@ def check_items(items: DataFrame, part: str, item: str = "item") -> DataFrame:
     )
 
 
-def with_defaults(record: Column, part: str) -> Column:
-    """The part with its defaults: missing optional lists become empty, texts stay NULL."""
+def with_defaults(record: Column, part: str, document: str) -> Column:
+    """The part with its defaults: missing optional lists become empty, texts stay NULL.
+
+    A list that is given as null in ``document``, the VARIANT column, stays NULL.
+    """
     columns = []
     for f in fields_of(part):
         value = record[f.name]
         if f.optional and f.kind == "texts":
-            value = F.coalesce(value, F.array().cast("array<string>"))
+            missing = F.try_variant_get(document, f"$.{f.name}", "variant").isNull()
+            value = F.when(missing, F.array().cast("array<string>")).otherwise(value)
         columns.append(value.alias(f.name))
     return F.when(record.isNotNull(), F.struct(*columns))
 

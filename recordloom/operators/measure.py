@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 # Rule names of violations.
-RULES = ("json_object", "required", "type", "enum")
+RULES = ("json_object", "too_large", "required", "type", "enum", "range")
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -10,14 +10,14 @@ import hashlib
 
 from recordloom.backends.template import (
     ANSWERS,
-    CHARS_PER_TOKEN,
     CHOICES,
+    NO_CONTENT,
     REPEATS_PROMPT,
 )
 from recordloom.fields import NEXT_STEP_TYPES, ROOT, fields_of
 from recordloom.functions.chat import DEFAULT_SYSTEM_TEXT
 from recordloom.functions.rules import Rule, object_paths, rules_of
-from recordloom.plans.queries import MODEL_LENGTH, SHORT
+from recordloom.plans.queries import CUT
 from recordloom.schema import json_schema_text, leaf_paths
 from recordloom.sinks.jsonl import RESULT_COLUMN, SINK_COLUMN
 
@@ -158,8 +158,8 @@ def _leaf_columns() -> str:
 
 _LINES = "string_split(text, chr(10))"
 _LIST = f"CAST(to_json({_LINES}) AS VARCHAR)"
-_PROMPT_TOKENS = f"CAST(ceil(length(text) / {CHARS_PER_TOKEN}.0) AS INTEGER)"
-_TOKENS = f"CAST(ceil(length(t) / {CHARS_PER_TOKEN}.0) AS INTEGER)"
+_MESSAGES = f"""CAST(to_json([{{'role': 'system', 'content': {quoted(DEFAULT_SYSTEM_TEXT)}}},
+  {{'role': 'user', 'content': text}}]) AS VARCHAR) AS messages"""
 _SCHEMA_DIGEST = quoted(hashlib.sha256(json_schema_text().encode("utf-8")).hexdigest())
 _SETTING = """CASE event_id % 6 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN event_type
       WHEN 2 THEN ' ' || CAST(user_id AS VARCHAR) || ' ' WHEN 3 THEN CAST(user_id AS VARCHAR) || '.5'
@@ -181,6 +181,8 @@ _CHOICE = f"""CASE event_id % 4 WHEN 0 THEN '{NEXT_STEP_TYPES[1]}' WHEN 1 THEN '
   WHEN 2 THEN '{NEXT_STEP_TYPES[2]}' ELSE event_type END"""
 _NEXT = ", ".join(quoted(c) for c in NEXT_STEP_TYPES)
 
+_FIX = "$.expert_solution_reply.step_by_step_fix"
+
 ORACLES: dict[str, str] = {
     "prompts_from_documents": (
         "SELECT sha256(CAST(to_json([CAST(doc_id AS VARCHAR)]) AS VARCHAR)) AS prompt_id, doc_id, "
@@ -210,8 +212,7 @@ SELECT event_id,
   x <> '' AND NOT regexp_full_match(trim(x), '[+-]?[0-9]+') AS warned
 FROM s""",
     "chat_messages": f"""
-SELECT doc_id, CAST(to_json([{{'role': 'system', 'content': {quoted(DEFAULT_SYSTEM_TEXT)}}},
-  {{'role': 'user', 'content': text}}]) AS VARCHAR) AS messages FROM documents""",
+SELECT doc_id, {_MESSAGES} FROM documents""",
     "sampling_params_greedy": """
 WITH d AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN CAST(0 AS DOUBLE)
                                           WHEN 1 THEN CAST(0.7 AS DOUBLE) END AS temperature
@@ -222,7 +223,8 @@ SELECT doc_id, temperature,
   CAST(1024 AS INTEGER) AS max_tokens, false AS detokenize
 FROM d""",
     "schema_on_requests": f"""
-SELECT doc_id, {_SCHEMA_DIGEST} AS schema_id, sha256({quoted(json_schema_text())}) AS inline_digest
+SELECT doc_id, {_SCHEMA_DIGEST} AS schema_id, sha256({quoted(json_schema_text())}) AS inline_digest,
+  {_MESSAGES}
 FROM documents""",
     "nested_to_json": """
 SELECT o_orderkey, CAST(to_json({
@@ -236,7 +238,7 @@ SELECT o_orderkey, CAST(to_json({
 }) AS VARCHAR) AS j FROM orders""",
     "generate_template": f"""
 WITH {RAW}
-SELECT doc_id, t AS generated_text, 'stop' AS finish_reason, {_TOKENS} AS n_output_tokens FROM raw""",
+SELECT doc_id, t AS generated_text, 'stop' AS finish_reason FROM raw""",
     "carried_columns": f"""
 WITH {RAW}
 SELECT doc_id, lang, source, n_chars, CASE WHEN doc_id % 2 = 0 THEN n_chars END AS maybe_chars,
@@ -244,22 +246,25 @@ SELECT doc_id, lang, source, n_chars, CASE WHEN doc_id % 2 = 0 THEN n_chars END
 FROM raw JOIN documents USING (doc_id)""",
     "truncated_generations": f"""
 WITH {RAW}
-SELECT doc_id,
-  CASE WHEN length(t) > {SHORT * CHARS_PER_TOKEN} THEN 'length' ELSE 'stop' END AS finish_reason,
-  least({_TOKENS}, {SHORT}) AS n_output_tokens,
-  length(t) <= {SHORT * CHARS_PER_TOKEN} AS is_valid
+SELECT doc_id, CAST(least(length(t), {CUT}) AS INTEGER) AS n_chars, length(t) <= {CUT} AS is_valid
 FROM raw""",
     "generation_errors": f"""
-SELECT doc_id, CASE WHEN n > {MODEL_LENGTH} THEN
-    'prompt of ' || n || ' tokens exceeds the model length {MODEL_LENGTH}' END AS generation_error,
-  n > {MODEL_LENGTH} AS empty
-FROM (SELECT doc_id, {_PROMPT_TOKENS} AS n FROM documents)""",
+WITH {DAMAGED}
+SELECT doc_id, CASE WHEN coalesce(t, '') = '' THEN '{NO_CONTENT}' END AS generation_error,
+  coalesce(t, '') = '' AS empty
+FROM damaged""",
     "generation_totals": f"""
-WITH {RAW}
-SELECT count(*) AS n_requests, count(*) FILTER (WHERE {_PROMPT_TOKENS} > {MODEL_LENGTH}) AS n_failed,
-  CAST(coalesce(sum({_TOKENS}) FILTER (WHERE {_PROMPT_TOKENS} <= {MODEL_LENGTH}), 0) AS BIGINT)
-    AS n_output_tokens
-FROM raw JOIN documents USING (doc_id)""",
+WITH {DAMAGED}
+SELECT count(*) AS n_requests, count(*) FILTER (WHERE coalesce(t, '') = '') AS n_failed
+FROM damaged""",
+    "throughput": """
+SELECT count(*) AS n_requests,
+  count(*) FILTER (WHERE doc_id % 7 = 0 AND source IS NOT NULL) AS n_failed,
+  CAST(coalesce(sum(n_chars), 0) AS BIGINT) AS n_output_tokens,
+  CAST(sum(doc_id % 1000 + 1) AS DOUBLE) / 1000 AS model_seconds,
+  CAST(sum(n_chars) AS DOUBLE) / (CAST(sum(doc_id % 1000 + 1) AS DOUBLE) / 1000)
+    AS tokens_per_model_second
+FROM documents""",
     "category_difficulty": f"""
 WITH {RAW}
 SELECT json_extract_string(t, '$.problem_metadata.category') AS category,
@@ -267,7 +272,11 @@ SELECT json_extract_string(t, '$.problem_metadata.category') AS category,
 FROM raw GROUP BY 1, 2""",
     "staged_split": f"""
 WITH {VALIDITY}
-SELECT doc_id, CASE WHEN is_valid THEN 'valid' ELSE 'rejected' END AS side FROM validity""",
+SELECT doc_id, CASE WHEN is_valid THEN 'valid' ELSE 'rejected' END AS side,
+  CAST(coalesce(n, 0) AS INTEGER) AS n_violations,
+  CASE WHEN is_valid THEN json_extract_string(t, '$.user_problem_post.title') END AS title
+FROM validity JOIN damaged USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM violations GROUP BY doc_id) USING (doc_id)""",
     "postprocess_rows": f"WITH {RAW} SELECT t AS {RESULT_COLUMN} FROM raw",
     "sink_rows": f"WITH {DAMAGED} SELECT t AS {SINK_COLUMN} FROM damaged",
     "jsonl_round_trip": f"WITH {DAMAGED} SELECT t AS {SINK_COLUMN} FROM damaged",
@@ -298,7 +307,7 @@ SELECT count(*) AS n, count(*) FILTER (WHERE is_valid) AS n_valid,
 FROM validity""",
     "optional_defaults": f"""
 SELECT doc_id, true AS is_valid,
-  CAST(CASE WHEN doc_id % 3 = 0 THEN len({_LINES}) ELSE 0 END AS INTEGER) AS n_commands,
+  CASE WHEN doc_id % 3 = 0 THEN {_LIST} WHEN doc_id % 5 <> 0 THEN '[]' END AS commands,
   CASE WHEN doc_id % 2 = 0 THEN source END AS gui_path, CAST(NULL AS VARCHAR) AS warning
 FROM documents""",
     "fix_steps": f"""
@@ -316,6 +325,20 @@ SELECT event_id, c IN ({_NEXT}) AS is_valid,
   CASE WHEN c NOT IN ({_NEXT}) THEN '$.informs_next_step_type' END AS path,
   CASE WHEN c NOT IN ({_NEXT}) THEN 'enum' END AS rule
 FROM e""",
+    "extended_violations": f"""
+WITH {_STEPS}
+SELECT doc_id, path, 'required' AS rule
+FROM documents, (VALUES ('$.problem_metadata'), ('$.user_problem_post'),
+  ('$.diagnostic_reasoning_process'), ('$.expert_solution_reply.acknowledgement'),
+  ('$.expert_solution_reply.explanation'), ('$.expert_solution_reply.root_cause_simplified'),
+  ('$.expert_solution_reply.relevant_expert_context'),
+  ('$.expert_solution_reply.verification_steps')) v(path)
+UNION ALL
+SELECT doc_id, '{_FIX}[' || pos || '].step_number' AS path, 'required' AS rule
+FROM steps WHERE step_number IS NULL
+UNION ALL
+SELECT doc_id, '{_FIX}[' || pos || '].instruction' AS path, 'required' AS rule
+FROM steps WHERE line = ''""",
     "extended_record_gaps": """
 SELECT path, 'required' AS rule, (SELECT count(*) FROM documents) AS n
 FROM (VALUES ('$.diagnostic_reasoning_process'), ('$.expert_solution_reply.relevant_expert_context'),

@@ -12,11 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.backends.template import TemplateBackend, template_record
+from recordloom.backends.template import EchoBackend, template_record
 from recordloom.functions import json_text
 from recordloom.functions.chat import chat_messages, sampling_params
 from recordloom.operators import check, lists, measure
-from recordloom.operators.generate import build_requests, fill_slots, generate
+from recordloom.operators.generate import build_requests, generate
 from recordloom.operators.once import once
 from recordloom.schema import json_schema_text
 from recordloom.sinks.jsonl import SINK_COLUMN, read_jsonl, result_rows, sink_rows, write_jsonl
@@ -25,10 +25,8 @@ from recordloom.sources.prompts import explode_prompt_lists, prompts_from_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Room enough for whole texts; the queries on cut texts use their own numbers.
-WHOLE = 1_000_000
-SHORT = 256
-MODEL_LENGTH = 500
+# Characters that the query on cut texts leaves of each.
+CUT = 1024
 BATCH = 16
 
 
@@ -51,7 +49,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     """The stand-in's record text per document, built by expressions alone."""
-    return fill_slots(documents(spark, folder)).select(
+    return documents(spark, folder).select(
         "doc_id", F.to_json(template_record("prompt")).alias("generated_text")
     )
 
@@ -92,17 +90,18 @@ def damaged(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _requests(spark: SparkSession, folder: str, **sampling: int) -> DataFrame:
-    """Requests with the document number alone; the prompt travels in its messages."""
-    return build_requests(
-        fill_slots(documents(spark, folder)),
+def _answered(texts: DataFrame, **how: str) -> DataFrame:
+    """``generated_text`` taken through requests and the model step, which gives it back."""
+    requests = build_requests(
+        texts.withColumnRenamed("generated_text", "prompt"),
         schema_text=json_schema_text(),
-        **({"max_tokens": WHOLE} | sampling),
+        max_tokens=None,
     ).drop("prompt", "schema_id")
+    return generate(requests, EchoBackend, batch_size=BATCH, **how)
 
 
 def _generated(spark: SparkSession, folder: str) -> DataFrame:
-    return generate(_requests(spark, folder), TemplateBackend, batch_size=BATCH)
+    return _answered(raw(spark, folder))
 
 
 def _violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,7 +124,7 @@ def prompt_count(spark: SparkSession, folder: str) -> DataFrame:
 
 def prompt_list_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Prompts out of JSON lists: each document's lines, written as a list."""
-    listed = fill_slots(documents(spark, folder)).select(
+    listed = documents(spark, folder).select(
         "doc_id", F.to_json(F.split("prompt", "\n")).alias("text")
     )
     return explode_prompt_lists(listed, "doc_id").withColumn("pos", F.col("pos").cast("bigint"))
@@ -147,7 +146,7 @@ def prompt_list_check(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 7, F.concat(F.lit("["), good, F.lit("]")))
         .when(kind == 8, F.concat(good, F.lit("\n")))
     )
-    listed = fill_slots(documents(spark, folder)).select("doc_id", text.alias("text"))
+    listed = documents(spark, folder).select("doc_id", text.alias("text"))
     parsed = once(listed, "elements", json_text.prompt_list(F.col("text")))
     return parsed.select(
         "doc_id", json_text.is_string_list(F.col("text"), "elements").alias("ok")
@@ -195,6 +194,7 @@ def schema_on_requests(spark: SparkSession, folder: str) -> DataFrame:
     ).select(
         "doc_id",
         "schema_id",
+        F.to_json("messages").alias("messages"),
         F.sha2("sampling_params.guided_decoding.json", 256).alias("inline_digest"),
     )
 
@@ -217,9 +217,7 @@ def nested_to_json(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def generate_template(spark: SparkSession, folder: str) -> DataFrame:
-    return _generated(spark, folder).select(
-        "doc_id", "generated_text", "finish_reason", "n_output_tokens"
-    )
+    return _generated(spark, folder).select("doc_id", "generated_text", "finish_reason")
 
 
 def carried_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -228,49 +226,45 @@ def carried_columns(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "lang", "source", "n_chars", F.col("text").alias("prompt"),
         F.when(F.col("doc_id") % 2 == 0, F.col("n_chars")).alias("maybe_chars"),
     )
-    requests = build_requests(fill_slots(rows), max_tokens=WHOLE)
-    return generate(requests, TemplateBackend, batch_size=BATCH).select(
+    texts = rows.withColumn("generated_text", F.to_json(template_record("prompt"))).drop("prompt")
+    return _answered(texts).select(
         "doc_id", "lang", "source", "n_chars", "maybe_chars",
         F.sha2("generated_text", 256).alias("digest"),
     )
 
 
 def truncated_generations(spark: SparkSession, folder: str) -> DataFrame:
-    """Texts cut by the token limit, and what the check says about them."""
-    requests = _requests(spark, folder, max_tokens=SHORT)
-    done = generate(requests, TemplateBackend, batch_size=BATCH)
-    return check.find_violations(check.parse_text(done)).select(
-        "doc_id", "finish_reason", "n_output_tokens",
+    """Texts that end too early, and what the check says about them."""
+    cut = raw(spark, folder).withColumn("generated_text", F.left("generated_text", F.lit(CUT)))
+    return check.find_violations(check.parse_text(_answered(cut))).select(
+        "doc_id", F.length("generated_text").alias("n_chars"),
         (F.size("violations") == 0).alias("is_valid"),
     )
 
 
+def _with_failures(spark: SparkSession, folder: str) -> DataFrame:
+    return _answered(damaged(spark, folder), on_error="record")
+
+
 def generation_errors(spark: SparkSession, folder: str) -> DataFrame:
-    """Failures kept as rows: prompts longer than the model length."""
-    return generate(
-        _requests(spark, folder),
-        TemplateBackend,
-        options={"max_model_len": MODEL_LENGTH},
-        batch_size=BATCH,
-        on_error="record",
-    ).select("doc_id", F.col("generation_error"), F.col("generated_text").isNull().alias("empty"))
+    """Failures kept as rows: requests without content."""
+    return _with_failures(spark, folder).select(
+        "doc_id", "generation_error", F.col("generated_text").isNull().alias("empty")
+    )
 
 
 def generation_totals(spark: SparkSession, folder: str) -> DataFrame:
-    done = generate(
-        _requests(spark, folder),
-        TemplateBackend,
-        options={"max_model_len": MODEL_LENGTH},
-        batch_size=BATCH,
-        on_error="record",
-    )
-    return measure.throughput(done).select("n_requests", "n_failed", "n_output_tokens")
+    return measure.throughput(_with_failures(spark, folder)).select("n_requests", "n_failed")
 
 
 def throughput(spark: SparkSession, folder: str) -> DataFrame:
-    return measure.throughput(_generated(spark, folder)).select(
-        "n_requests", "n_output_tokens", "model_seconds", "tokens_per_model_second"
+    """Counts and rates from given columns: length as tokens, a number per row as milliseconds."""
+    done = table(spark, folder, "documents").select(
+        F.col("n_chars").alias("n_output_tokens"),
+        (F.col("doc_id") % 1000 + 1).cast("double").alias("generation_ms"),
+        F.when(F.col("doc_id") % 7 == 0, F.col("source")).alias("generation_error"),
     )
+    return measure.throughput(done).drop("tokens_per_second")
 
 
 def category_difficulty(spark: SparkSession, folder: str) -> DataFrame:
@@ -286,10 +280,13 @@ def category_difficulty(spark: SparkSession, folder: str) -> DataFrame:
 def staged_split(spark: SparkSession, folder: str) -> DataFrame:
     """Both sides of the split, from a table generated, checked and written once."""
     checked = check.check_records(once(_generated(spark, folder), "_text", damage()), "_text")
-    staged = stage(checked.select("doc_id", "is_valid"), partition_by=["is_valid"])
+    staged = stage(
+        checked.select("doc_id", "is_valid", "violations", "record"), partition_by=["is_valid"]
+    )
     valid, rejected = check.split_records(staged)
-    return valid.select("doc_id", F.lit("valid").alias("side")).unionAll(
-        rejected.select("doc_id", F.lit("rejected").alias("side"))
+    shown = ["doc_id", F.size("violations").alias("n_violations"), "record.user_problem_post.title"]
+    return valid.select(*shown, F.lit("valid").alias("side")).unionAll(
+        rejected.select(*shown, F.lit("rejected").alias("side"))
     )
 
 
@@ -406,7 +403,7 @@ def _fix_step(spark: SparkSession, folder: str) -> DataFrame:
     with_nulls = F.to_json(step, {"ignoreNullFields": "false"})
     text = F.when(number % 5 == 0, with_nulls).otherwise(F.to_json(step))
     rows = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
-    return fill_slots(rows).select("doc_id", F.try_parse_json(text).alias("item"))
+    return rows.select("doc_id", F.try_parse_json(text).alias("item"))
 
 
 def optional_defaults(spark: SparkSession, folder: str) -> DataFrame:
@@ -414,7 +411,7 @@ def optional_defaults(spark: SparkSession, folder: str) -> DataFrame:
     return checked.select(
         "doc_id",
         "is_valid",
-        F.size("record.commands").alias("n_commands"),
+        F.to_json("record.commands").alias("commands"),
         "record.gui_path",
         "record.warning",
     )
@@ -433,7 +430,7 @@ def _step_lists(spark: SparkSession, folder: str) -> DataFrame:
     reply = F.struct(F.struct(step.alias("step_by_step_fix")).alias("expert_solution_reply"))
     rows = table(spark, folder, "documents").select("doc_id", "lang", "text")
     return check.parse_text(
-        fill_slots(rows).select("doc_id", F.to_json(reply).alias("generated_text"))
+        rows.select("doc_id", F.to_json(reply).alias("generated_text"))
     )
 
 
@@ -473,7 +470,7 @@ def next_step_choices(spark: SparkSession, folder: str) -> DataFrame:
         choice.alias("informs_next_step_type"),
     )
     rows = table(spark, folder, "events").select("event_id", "event_type", "props")
-    items = fill_slots(rows).select(
+    items = rows.select(
         "event_id", F.try_parse_json(F.to_json(step)).alias("item")
     )
     checked = lists.check_items(items, "DiagnosticStep")
@@ -482,6 +479,14 @@ def next_step_choices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def extended_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole records with lists of records in them, each item judged where it stands."""
+    found = check.find_violations(_step_lists(spark, folder), extended=True)
+    return found.select("doc_id", F.explode("violations").alias("v")).select(
+        "doc_id", "v.path", "v.rule"
+    )
+
+
 def extended_record_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """What active records lack when the inactive parts are asked for too."""
     checked = check.check_records(raw(spark, folder), extended=True)
@@ -529,5 +534,6 @@ QUERIES: dict[str, Query] = {
     "fix_steps": fix_steps,
     "fix_step_violations": fix_step_violations,
     "next_step_choices": next_step_choices,
+    "extended_violations": extended_violations,
     "extended_record_gaps": extended_record_gaps,
 }

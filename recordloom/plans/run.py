@@ -24,7 +24,12 @@ from recordloom.sinks.jsonl import result_rows, run_name, sink_rows, write_jsonl
 from recordloom.sinks.staging import shared_folder, stage
 from recordloom.sources.prompts import check_prompt_files, read_prompts
 
-TASKS_PER_REPLICA = 4
+# Prompts of one task where they are dealt anew: what a lost task repeats at most.
+ROWS_PER_TASK = 1_000
+
+
+class RunError(RuntimeError):
+    """A run whose counts do not agree."""
 
 
 @dataclass(frozen=True)
@@ -33,6 +38,7 @@ class RunResult:
 
     folder: str | None = None
     raw_path: str | None = None
+    n_prompts: int = 0
     n_requests: int = 0
     n_failed: int = 0
     n_output_tokens: int = 0
@@ -58,6 +64,7 @@ def run(
     *,
     prompts: DataFrame | None = None,
     partitions: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
     staging_dir: str | None = None,
     system_text: str = DEFAULT_SYSTEM_TEXT,
     on_error: str = "fail",
@@ -68,7 +75,7 @@ def run(
 
     ``prompts`` (``prompt_id``, ``prompt``) replaces the configured prompt lists; such a
     table keeps its own splits unless ``partitions`` is given.  Prompts from lists are
-    dealt over a few tasks per replica.  Below the run's folder::
+    dealt over tasks of ``rows_per_task``, one per replica at least.  Below the run's folder::
 
         settings/   the run's settings, written before any model runs
         records/    checked records, partitioned by is_valid; text of rejected ones only
@@ -78,10 +85,12 @@ def run(
     """
     started = time.perf_counter()
     if prompts is None:
-        check_prompt_files(spark, config.prompts_path)
+        n_prompts = check_prompt_files(spark, config.prompts_path).n_prompts
         prompts = read_prompts(spark, config.prompts_path)
-        partitions = partitions or config.replicas * TASKS_PER_REPLICA
-    if prompts.isEmpty():
+        partitions = partitions or max(config.replicas, -(-n_prompts // rows_per_task))
+    else:
+        n_prompts = prompts.count()
+    if not n_prompts:
         return RunResult()
 
     folder = f"{config.output_dir.rstrip('/')}/{run_name(config.job_id, moment or datetime.now())}"
@@ -116,6 +125,9 @@ def run(
     base = staging_dir or shared_folder(spark) or folder
     raw_path = f"{base.rstrip('/')}/raw-{uuid.uuid4().hex}"
     raw = stage(generated, raw_path)
+    counts = seen.get
+    if counts["n"] != n_prompts:
+        raise RunError(f"{n_prompts} prompts gave {counts['n']} rows, see {raw_path}")
 
     # Valid rows hold the parsed record; their text stays in the raw and the saved rows.
     rejected_text = F.when(~F.col("is_valid"), F.col("generated_text"))
@@ -126,10 +138,11 @@ def run(
 
     saved, written = counted(sink_rows(result_rows(raw)), "saved")
     write_jsonl(saved, f"{folder}/output")
-    counts, found = seen.get, checks.get
+    found = checks.get
     return RunResult(
         folder=folder,
         raw_path=raw_path,
+        n_prompts=n_prompts,
         n_requests=counts["n"],
         n_failed=counts["n_failed"],
         n_output_tokens=counts["n_output_tokens"],

@@ -32,6 +32,7 @@ class RunConfig:
     max_model_len: int | None = None
     batch_size: int = 16
     job_id: str = "localrun"
+    trust_remote_code: bool = False
     setting_warnings: tuple[str, ...] = field(default=())
 
     def with_(self, **changes: Any) -> RunConfig:
@@ -39,6 +40,7 @@ class RunConfig:
 
     def backend_options(self) -> dict[str, Any]:
         """Model settings handed to the backend factory as they are."""
+        # Argument names and the values that are no setting.
         options = {
             "model": self.model,
             "dtype": self.dtype,
@@ -46,7 +48,7 @@ class RunConfig:
             "gpu_memory_utilization": self.gpu_memory_utilization,
             "distributed_executor_backend": self.executor_backend,
             "guided_decoding_backend": "xgrammar",
-            "trust_remote_code": True,
+            "trust_remote_code": self.trust_remote_code,
             "enforce_eager": True,
         }
         if self.max_model_len:
@@ -70,10 +72,18 @@ ENVIRONMENT_NAMES = {
     "top_k": "TOP_K",
     "batch_size": "RAY_DATA_BATCH_SIZE",
     "job_id": "SLURM_JOB_ID",
+    "trust_remote_code": "TRUST_REMOTE_CODE_ENV",
 }
 MAX_MODEL_LEN_NAME = "MAX_MODEL_LEN_ENV"
 
 
+def _flag(text: str) -> bool:
+    known = {"true": True, "1": True, "false": False, "0": False, "": False}
+    if text.strip().lower() not in known:
+        raise ValueError(text)
+    return known[text.strip().lower()]
+
+
 def from_env(env: Mapping[str, str] | None = None) -> RunConfig:
     """Settings from a mapping of names to text (the process environment by default).
 
@@ -88,11 +98,13 @@ def from_env(env: Mapping[str, str] | None = None) -> RunConfig:
         if variable not in env:
             continue
         wanted: Callable[[str], Any] = type(getattr(defaults, name))
+        if wanted is bool:
+            wanted = _flag
         try:
             values[name] = wanted(env[variable])
         except ValueError as problem:
             raise SettingError(
-                f"{variable}={env[variable]!r} is not a valid {wanted.__name__}"
+                f"{variable}={env[variable]!r} is not a valid {wanted.__name__.strip('_')}"
             ) from problem
     length = env.get(MAX_MODEL_LEN_NAME, "")
     if length:

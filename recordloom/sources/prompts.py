@@ -6,6 +6,8 @@ a retried or repeated task finds the same ids.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,13 @@ from recordloom.sinks.staging import scratch_path
 _NOT_A_LIST = "is not a JSON list of strings"
 
 
+class PromptFiles(NamedTuple):
+    """What a check of prompt files counted on its way."""
+
+    n_files: int
+    n_prompts: int
+
+
 class PromptFileError(ValueError):
     """Prompt files that are not JSON lists of strings; ``table`` lists path and reason of all."""
 
@@ -74,8 +83,8 @@ def read_prompts(
     return prompts if partitions is None else prompts.repartition(partitions)
 
 
-def check_prompt_files(spark: SparkSession, paths: str | list[str]) -> int:
-    """Check every file before any model runs; the number of files, or an error.
+def check_prompt_files(spark: SparkSession, paths: str | list[str]) -> PromptFiles:
+    """Check every file before any model runs; counts of files and prompts, or an error.
 
     A missing path raises Spark's own PATH_NOT_FOUND error.  Bad files, empty ones among
     them (Spark's readers skip those, so they come from the listing that Spark itself
@@ -83,23 +92,30 @@ def check_prompt_files(spark: SparkSession, paths: str | list[str]) -> int:
     """
     files = _files(spark, paths)
     checked = once(files, "_elements", json_text.prompt_list(F.col("text"))).select(
-        "path", json_text.is_string_list(F.col("text"), "_elements").alias("ok")
+        "path",
+        json_text.is_string_list(F.col("text"), "_elements").alias("ok"),
+        F.when(json_text.is_empty_list(F.col("text")), 0)
+        .otherwise(F.size("_elements") - 1).cast("bigint").alias("n_prompts"),
     )
     # Listing and scan write the same path with one slash or three.
     listed = files.inputFiles()
     one_slash = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/").alias("path")
     named = spark.createDataFrame([(p,) for p in listed], "path string").select(one_slash)
     empty = named.join(files.select(one_slash), "path", "left_anti")
-    verdicts = checked.unionByName(empty.select("path", F.lit(False).alias("ok")))
+    verdicts = checked.unionByName(empty.select(
+        "path", F.lit(False).alias("ok"), F.lit(0).cast("bigint").alias("n_prompts")
+    ))
     totals = verdicts.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("bad")
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~F.col("ok")).alias("bad"),
+        F.coalesce(F.sum("n_prompts"), F.lit(0)).alias("n_prompts"),
     ).first()
     if totals["bad"]:
         table = scratch_path(spark, "bad-prompt-files")
         reason = F.concat_ws(" ", "path", F.lit(_NOT_A_LIST)).alias("reason")
         verdicts.where(~F.col("ok")).select("path", reason).write.parquet(table)
         raise PromptFileError(totals["bad"], table)
-    return totals["n"]
+    return PromptFiles(totals["n"], totals["n_prompts"])
 
 
 def prompts_from_table(
@@ -113,9 +129,11 @@ def prompts_from_table(
     data_type = table.schema[prompt].dataType
     if not isinstance(data_type, T.StringType):
         raise TypeError(f"column {prompt} is {data_type.simpleString()}, prompts are strings")
-    given = F.coalesce(F.col(prompt), F.raise_error(F.lit(f"column {prompt} holds NULL")))
+    # A filter, so that the error cannot be pruned away with the column.
+    refused = F.raise_error(F.lit(f"column {prompt} holds NULL")).cast("boolean")
+    table = table.where(F.when(F.col(prompt).isNotNull(), True).otherwise(refused))
     keys = [F.col(c) for c in id_columns] or [F.col(prompt)]
-    return table.select(prompt_id(*keys).alias("prompt_id"), *id_columns, given.alias("prompt"))
+    return table.select(prompt_id(*keys).alias("prompt_id"), *id_columns, F.col(prompt).alias("prompt"))
 
 
 def read_prompt_lines(
@@ -123,10 +141,19 @@ def read_prompt_lines(
 ) -> DataFrame:
     """Prompts of JSON Lines files, one object per line; anything but a string is an error.
 
-    The field is read as VARIANT, since a STRING schema would turn 3 into "3".
+    A line is judged as a whole, like a record: text around the object, a list, a repeated
+    key or a value that is no string stops the query.  Blank lines are skipped.
     """
-    schema = T.StructType([T.StructField(prompt, T.VariantType())])
-    lines = spark.read.schema(schema).json(paths)
-    value = F.col(prompt)
-    text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
-    return prompts_from_table(lines.select(text.alias(prompt)), prompt)
+    line = F.col("value")
+    lines = once(
+        spark.read.text(paths).where(line.rlike(r"[^ \t\r]")),
+        "_document",
+        json_text.whole_document(line),
+    )
+    place = f"$[0]['{prompt}']"
+    kind = F.schema_of_variant(F.try_variant_get("_document", place, "variant"))
+    text = F.when(
+        json_text.is_whole(F.col("_document"), line) & (kind == "STRING"),
+        F.try_variant_get("_document", place, "string"),
+    )
+    return prompts_from_table(once(lines, "_text", text).select(F.col("_text").alias(prompt)), prompt)

@@ -6,6 +6,7 @@ import pytest
 
 from recordloom.backends.template import template_text
 from recordloom.fields import ROOT
+from recordloom.functions import json_text
 from recordloom.functions.rules import rules_of
 from recordloom.operators import check, lists
 from recordloom.schema import leaf_paths
@@ -37,6 +38,13 @@ def test_only_one_whole_object_passes(spark):
     assert not wrong
 
 
+def test_a_text_too_long_to_read_has_a_rule_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(json_text, "LARGEST_TEXT", len(GOOD.encode()))
+    assert _violations(spark, [GOOD, GOOD + " ", "x" + GOOD, "x"]) == [
+        set(), {("$", "too_large")}, {("$", "too_large")}, {("$", "json_object")}
+    ]
+
+
 def test_white_space_and_extra_keys_are_fine(spark):
     extra = GOOD[:-1] + ',"more":{"x":null}}'
     assert _violations(spark, [GOOD, f" \n{GOOD}\t\r\n", extra]) == [set()] * 3
@@ -147,9 +155,30 @@ def test_extended_record(spark):
     reply["relevant_expert_context"] = {"experience_snippet": "a", "effective_strategy_overview": "b"}
     reply["step_by_step_fix"] = [{"step_number": 1}]
     reply["verification_steps"] = "none"
+    fix = "$.expert_solution_reply.step_by_step_fix"
     assert _violations(spark, [json.dumps(full)], extended=True) == [
-        {("$.expert_solution_reply.verification_steps", "type")}
+        {
+            ("$.expert_solution_reply.verification_steps", "type"),
+            (f"{fix}[0].instruction", "required"),
+            (f"{fix}[0].explanation", "required"),
+        }
     ]
+    reply["step_by_step_fix"] = [STEP, {"step_number": "7", "instruction": 5, "explanation": True}]
+    reply["verification_steps"] = [7, {"instruction": "i"}]
+    full["diagnostic_reasoning_process"] = [5, "x", {"informs_next_step_type": "Nope"}]
+    steps = "$.diagnostic_reasoning_process"
+    needed = ("reason_for_command", "diagnostic_command", "simulated_output", "interpretation")
+    assert _violations(spark, [json.dumps(full)], extended=True) == [
+        {(f"{fix}[1].{n}", "type") for n in ("step_number", "instruction", "explanation")}
+        | {("$.expert_solution_reply.verification_steps[0]", "type")}
+        | {(f"{steps}[0]", "type"), (f"{steps}[1]", "type")}
+        | {(f"{steps}[2].{n}", "required") for n in needed}
+        | {(f"{steps}[2].informs_next_step_type", "enum")}
+    ]
+    reply["step_by_step_fix"] = [STEP | {"more": 1}, STEP]
+    full["diagnostic_reasoning_process"] = []
+    keys = check.parse_text(_texts(spark, [json.dumps(full)])).select(check.extra_keys(extended=True))
+    assert keys.first()[0] == [f"{fix}[0].more"]
     reply["verification_steps"] = []
     reply["alternative_solutions"] = None
     assert _violations(spark, [json.dumps(full)], extended=True) == [set()]
@@ -171,6 +200,9 @@ STEP = {"step_number": 1, "instruction": "i", "explanation": "e"}
         ({"step_number": 1.0}, set()),
         ({"step_number": 1e2}, set()),
         ({"step_number": 1.5}, {("$.step_number", "type")}),
+        ({"step_number": 2**63 - 1}, set()),
+        ({"step_number": 12345678901234567890}, {("$.step_number", "range")}),
+        ({"step_number": -1e300}, {("$.step_number", "range")}),
         ({"step_number": "1"}, {("$.step_number", "type")}),
         ({"step_number": True}, {("$.step_number", "type")}),
         ({"instruction": None}, {("$.instruction", "type")}),
@@ -183,7 +215,7 @@ def test_list_items(spark, change, wanted):
     assert first["is_valid"] and first["record"]["commands"] == [] and first["record"]["gui_path"] is None
     assert {(v["path"], v["rule"]) for v in second["violations"]} == wanted
     if not wanted:
-        assert second["record"]["commands"] == []
+        assert second["record"]["commands"] == (None if "commands" in change and change["commands"] is None else [])
 
 
 def test_items_that_are_no_objects_and_parents_without_items(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from recordloom.backends.base import Generation
 from recordloom.backends.template import TemplateBackend, template_record, template_text
-from recordloom.operators.generate import _to_python, build_requests, fill_slots, generate, spread
+from recordloom.operators.generate import _to_python, build_requests, generate, spread
 from recordloom.sinks.staging import stage
 
 
@@ -157,22 +157,11 @@ def test_standin_has_one_text_in_both_forms(spark):
     assert native == [template_text(p) for p in prompts]
 
 
-def test_standin_limits(spark):
-    df = spark.createDataFrame([("x" * 100,)], "prompt string")
-    cut = generate(build_requests(df, max_tokens=5), TemplateBackend).first()
-    assert (cut["finish_reason"], cut["n_output_tokens"], len(cut["generated_text"])) == ("length", 5, 20)
-    long = generate(build_requests(df), TemplateBackend, options={"max_model_len": 24}, on_error="record")
-    assert "exceeds the model length 24" in long.first()["generation_error"]
-
-
 def test_spreading(spark):
     one = _prompts(spark, 100, 1)
     assert spread(one, None) is one
     sizes = [len(p) for p in spread(one, 5).rdd.glom().collect()]
     assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
-    many = _prompts(spark, 100, 64)
-    assert fill_slots(many) is many
-    assert fill_slots(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     # Equal prompts do not meet in one task.
     equal = spark.range(100, numPartitions=1).select(F.lit("same").alias("prompt"))
     assert max(len(p) for p in spread(equal, 5).rdd.glom().collect()) <= 21

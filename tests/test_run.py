@@ -4,7 +4,9 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark import TaskContext
 
+from recordloom.__main__ import main
 from recordloom.backends.base import Generation
 from recordloom.backends.template import TemplateBackend, template_text
 from recordloom.plans.run import read_records, run
@@ -34,7 +36,7 @@ def test_run_from_a_list(spark, tmp_path):
     result = run(spark, config, Counting, moment=MOMENT)
     assert calls.value == 3
     assert os.path.basename(result.folder) == "records_42_20240506_070809"
-    assert (result.n_requests, result.n_failed, result.n_saved) == (3, 0, 3)
+    assert (result.n_prompts, result.n_requests, result.n_failed, result.n_saved) == (3, 3, 0, 3)
     assert (result.n_valid, result.n_rejected) == (3, 0) and not any(result.violations.values())
     saved = []
     for part in glob.glob(f"{result.output_path}/part-*"):
@@ -61,7 +63,9 @@ def test_run_from_a_table_with_rejected_and_failed_rows(spark, tmp_path):
     result = run(spark, config, Mixed, prompts=prompts_from_table(table, "t", ["id"]), on_error="record",
                  staging_dir=str(tmp_path / "staged"))
     assert (result.n_requests, result.n_failed, result.n_valid, result.n_rejected) == (10, 1, 7, 3)
-    assert result.violations == {"json_object": 2, "required": 3, "type": 0, "enum": 0}
+    assert result.violations == {
+        "json_object": 2, "too_large": 0, "required": 3, "type": 0, "enum": 0, "range": 0
+    }
     assert result.n_saved == 10 and result.raw_path.startswith(str(tmp_path / "staged"))
     rejected = read_records(spark, result).where("NOT is_valid")
     assert sorted(r["id"] for r in rejected.collect()) == [0, 1, 2]
@@ -102,3 +106,29 @@ def test_engine_failure_saves_nothing(spark, tmp_path):
         run(spark, _config(tmp_path, '["a"]'), Broken, moment=MOMENT)
     assert not glob.glob(str(tmp_path / "out" / "*" / "output"))
     assert not glob.glob(str(tmp_path / "out" / "*" / "records"))
+
+
+def test_tasks_follow_the_number_of_prompts(spark, tmp_path):
+    class Partition(TemplateBackend):
+        def generate(self, batch):
+            return [Generation(str(TaskContext.get().partitionId())) for _ in batch]
+
+    config = _config(tmp_path, json.dumps([f"p{i}" for i in range(50)]))
+    result = run(spark, config, Partition, rows_per_task=10)
+    tasks = spark.read.parquet(result.raw_path).groupBy("generated_text").count().collect()
+    assert len(tasks) == 5 and max(t["count"] for t in tasks) <= 12
+
+
+def test_program(spark, tmp_path, monkeypatch):
+    backend = "recordloom.backends.template:TemplateBackend"
+    for name, text in {"good": '["a", "b"]', "none": "[]", "bad": "[1]"}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    monkeypatch.setenv("OUTPUT_DIR_ENV", str(tmp_path / "out"))
+    for name, code in {"good": 0, "none": 0, "bad": 1, "missing": 1}.items():
+        monkeypatch.setenv("PROMPTS_FILE_ENV", str(tmp_path / f"{name}.json"))
+        assert main([backend], spark) == code
+    assert len(glob.glob(str(tmp_path / "out" / "*" / "output"))) == 1
+    assert main(["recordloom"], spark) == 1 and main(["no.such:thing"], spark) == 1
+    assert main([], spark) == 2
+    monkeypatch.setenv("TEMPERATURE", "warm")
+    assert main([backend], spark) == 1

@@ -46,7 +46,7 @@ def _write(folder, files):
 def test_good_list(spark, tmp_path, name):
     text, prompts = GOOD[name]
     path = _write(tmp_path, {name: text})
-    assert check_prompt_files(spark, path) == 1
+    assert check_prompt_files(spark, path) == (1, len(prompts))
     rows = read_prompts(spark, path).orderBy("pos").collect()
     assert [r["prompt"] for r in rows] == prompts
     assert [r["pos"] for r in rows] == list(range(len(prompts)))
@@ -54,7 +54,7 @@ def test_good_list(spark, tmp_path, name):
 
 def test_directory_and_stable_ids(spark, tmp_path):
     path = _write(tmp_path, {n: t for n, (t, _) in GOOD.items()})
-    assert check_prompt_files(spark, path) == len(GOOD)
+    assert check_prompt_files(spark, path) == (len(GOOD), sum(len(p) for _, p in GOOD.values()))
     once = {r["prompt_id"]: r["prompt"] for r in read_prompts(spark, path).collect()}
     spread = {r["prompt_id"]: r["prompt"] for r in read_prompts(spark, path, 6).collect()}
     assert once == spread and len(once) == sum(len(p) for _, p in GOOD.values())
@@ -124,11 +124,23 @@ def test_table_of_prompts(spark):
         prompts_from_table(table, "k")
     with pytest.raises(Exception, match="holds NULL"):
         prompts_from_table(spark.createDataFrame([(None,)], "t string"), "t").collect()
+    with pytest.raises(Exception, match="holds NULL"):
+        prompts_from_table(spark.createDataFrame([(1, None)], "k int, t string"), "t", ["k"]).count()
 
 
 def test_prompt_lines(spark, tmp_path):
     (tmp_path / "good.jsonl").write_text('{"prompt": "a"}\n{"prompt": "3"}\n')
     assert sorted(r["prompt"] for r in read_prompt_lines(spark, str(tmp_path)).collect()) == ["3", "a"]
-    (tmp_path / "bad.jsonl").write_text('{"prompt": 3}\n')
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        '{"prompt": 3}', '{"prompt": null}', '{"other": "a"}', '{"prompt":"a"} junk', "x", '"a"',
+        '[{"prompt":"b"},{"prompt":"c"}]', '{"prompt":"d","prompt":"e"}', '{"prompt":"a"',
+    ],
+)
+def test_bad_prompt_lines(spark, tmp_path, line):
+    (tmp_path / "bad.jsonl").write_text('{"prompt": "a"}\n\n' + line + "\n")
     with pytest.raises(Exception, match="holds NULL"):
-        read_prompt_lines(spark, str(tmp_path)).collect()
+        read_prompt_lines(spark, str(tmp_path)).count()
