@@ -290,6 +290,17 @@ def test_near_copies_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({root(d) for d in sets})
 
 
+def test_near_dedup_decides_by_row(spark):
+    text = lambda name, end: " ".join(f"{name}{i}" for i in range(60)) + f" {end}"
+    rows = [(1, text("a", "x")), (None, text("a", "y")), (None, text("b", "x")), (None, text("c", "x")),
+            (None, text("c", "y")), (2, text("d", "x")), (3, text("d", "y")), (3, text("e", "x"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.near_dedup(spark, df, "").collect()]
+    c = [r for r in kept if (r[1] or "").startswith("c0 ")]
+    assert len(c) == 1 and c[0] in rows
+    assert {r for r in kept if r not in c} == {rows[i] for i in (0, 2, 5, 7)} and len(kept) == 5
+
+
 def test_dense_lists_yield_few_links():
     rng = np.random.RandomState(5)
     fps = np.unique([np.uint64(1) << np.uint64(a) | np.uint64(1) << np.uint64(b)
