@@ -1,13 +1,14 @@
 r"""Personal data: validated patterns as seeds, and bootstrapped contexts that find more.
 
 Seeds are e-mail addresses, IPv4 addresses, card numbers (Luhn) and phone numbers.  The text
-just before and after a seed gives lexical patterns, such as ``contact `` on the left or
-`` or call`` on the right.  The same is taken for every identifier-like word, at least
-``LEAST`` letters, digits, ``_`` and ``-`` with two digits or more, outside the seeds.
+just before and after a seed gives lexical patterns of one to ``CONTEXT`` words, such as
+``contact `` on the left or `` or call`` on the right.  The same is taken for every
+identifier-like word, at least ``LEAST`` letters, digits, ``_`` and ``-`` with two digits or more, outside the seeds.
 Patterns and instances form a graph whose edges count occurrences.  Scores go round it
-``ROUNDS`` times: seeds score 1 and stay so, a pattern scores the mean of its
-occurrences' instances, or 0 if fewer than ``SUPPORT`` different seeds stand in it, and an
-instance that is no seed scores the mean of its occurrences' patterns.  Instances that end
+``ROUNDS`` times: seeds score 1 and stay so, a pattern in which at least ``SUPPORT`` different
+seeds stand scores the mean of its occurrences' instances, and an instance that is no seed
+scores the mean of its occurrences' patterns.  Patterns with fewer seeds say nothing, as sides
+without a word do; an instance without any other pattern has no score.  Instances that end
 at ``THRESHOLD`` or above are found, wherever they occur, as spans of kind ``id``.
 
 Everything is DataFrame functions.  Texts are read once; what is staged afterwards are
@@ -31,6 +32,7 @@ LEAST = 6
 ROUNDS = 3
 SUPPORT = 3
 THRESHOLD = 0.8
+CONTEXT = 3
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 
@@ -53,7 +55,7 @@ _IDENTIFIER = (
 )
 _BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})?"
 _BLOCK = 256
-_NEAR = 40
+_NEAR = 80
 
 
 def _quoted(pattern: str) -> str:
@@ -106,14 +108,19 @@ _VALID = {
 
 
 def _occurrence(span: Column) -> Column:
-    """A span with its patterns: on each side the nearest word and what lies between."""
-    left = F.regexp_extract(span["p"], r"(\p{L}+[^\p{L}]{0,6})$", 1)
-    right = F.regexp_extract(span["n"], r"^([^\p{L}]{0,6}\p{L}+)", 1)
+    """A span with its patterns: on each side the nearest words and what lies between."""
+    word, gap = r"\p{L}+", r"[^\p{L}]{1,6}"
+    patterns = []
+    for n in range(CONTEXT):
+        left = F.regexp_extract(
+            span["p"], rf"((?:(?<!\p{{L}}){word}{gap}){{{n}}}(?<!\p{{L}}){word}[^\p{{L}}]{{0,6}})$", 1
+        )
+        right = F.regexp_extract(span["n"], rf"^([^\p{{L}}]{{0,6}}{word}(?:{gap}{word}){{{n}}})(?!\p{{L}})", 1)
+        patterns.append(F.concat(F.lit("< "), F.lower(left)))
+        patterns.append(F.concat(F.lit("> "), F.lower(right)))
     return F.struct(
         span["s"].alias("s"), span["e"].alias("e"), span["t"].alias("t"),
-        F.array(
-            F.concat(F.lit("< "), F.lower(left)), F.concat(F.lit("> "), F.lower(right))
-        ).alias("patterns"),
+        F.array(*patterns).alias("patterns"),
     )
 
 
@@ -171,9 +178,9 @@ def confident(rows: DataFrame) -> DataFrame:
         )
         trusted = patterns.where(F.col("support") >= SUPPORT).select("pattern", "mean")
         score = keep(
-            edges.where("NOT seed").join(trusted, "pattern", "left")
+            edges.where("NOT seed").join(trusted, "pattern")
             .groupBy("instance")
-            .agg((F.sum(F.col("n") * F.coalesce("mean", F.lit(0.0))) / F.sum("n")).alias("score"))
+            .agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("score"))
         )
     return score.where(F.col("score") >= THRESHOLD).select("instance")
 

@@ -196,6 +196,14 @@ def test_personal_data_against_plain_expressions(spark, texts):
     assert found[4].spans.endswith(",id:44:53") and found[4].n_id == 1
 
 
+def test_identifier_in_running_text(spark):
+    rows = [(i, f"please call 1.2.3.{i} now") for i in range(6)]
+    rows += [(10, "they call AB-99-12x tomorrow"), (11, "release AB-11-12x came"), (12, "CD-11-12x")]
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[10].spans == "id:10:19" and found[10].n_id == 1
+    assert found[11].n_id == found[12].n_id == 0
+
+
 def test_urls(spark):
     rows = [(i, u) for i, u in enumerate([
         "http://A.example.NET/en/x", "https://example.net/de/1", "http://example.com/de/2?x",
