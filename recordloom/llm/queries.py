@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import read
+from recordloom.llm.divergence import OP11_SQL, audit
 from recordloom.llm.exact_dedup import OP6_SQL, ExactDedup
 from recordloom.llm.language import held_out, identify
 from recordloom.llm.mixing import mix
@@ -75,6 +76,10 @@ def op10_pigeonring_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_divergence_cube(spark: SparkSession, folder: str) -> DataFrame:
+    return audit(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -88,10 +93,12 @@ QUERIES: dict[str, Query] = {
         op8_boosted_url_filter,
         op9_suffix_repeats,
         op10_pigeonring_simhash,
+        op11_divergence_cube,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op1_cross_entropy_difference": OP1_SQL,
     "op6_bloom_exact_dedup": OP6_SQL,
+    "op11_divergence_cube": OP11_SQL,
 }
