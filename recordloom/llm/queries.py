@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import read
+from recordloom.llm.debruijn import OP12_SQL, remove_repeated_spans
 from recordloom.llm.divergence import OP11_SQL, audit
 from recordloom.llm.exact_dedup import OP6_SQL, ExactDedup
 from recordloom.llm.language import held_out, identify
@@ -80,6 +81,13 @@ def op11_divergence_cube(spark: SparkSession, folder: str) -> DataFrame:
     return audit(read(spark, folder, "documents"))
 
 
+def op12_debruijn_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeated_spans(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,6 +102,7 @@ QUERIES: dict[str, Query] = {
         op9_suffix_repeats,
         op10_pigeonring_simhash,
         op11_divergence_cube,
+        op12_debruijn_spans,
     )
 }
 
@@ -101,4 +110,5 @@ ORACLES: dict[str, str] = {
     "op1_cross_entropy_difference": OP1_SQL,
     "op6_bloom_exact_dedup": OP6_SQL,
     "op11_divergence_cube": OP11_SQL,
+    "op12_debruijn_spans": OP12_SQL,
 }
