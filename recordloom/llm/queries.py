@@ -13,6 +13,7 @@ from recordloom.llm.divergence import OP11_SQL, audit
 from recordloom.llm.exact_dedup import OP6_SQL, ExactDedup
 from recordloom.llm.language import held_out, identify
 from recordloom.llm.mixing import mix
+from recordloom.llm.negatives import OP13_SQL, mine
 from recordloom.llm.neighbours import nearest
 from recordloom.llm.packing import pack
 from recordloom.llm.pii import find
@@ -88,6 +89,12 @@ def op12_debruijn_spans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh label is moved on by one first, as wrong labels would be."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -103,6 +110,7 @@ QUERIES: dict[str, Query] = {
         op10_pigeonring_simhash,
         op11_divergence_cube,
         op12_debruijn_spans,
+        op13_hard_negatives,
     )
 }
 
@@ -111,4 +119,5 @@ ORACLES: dict[str, str] = {
     "op6_bloom_exact_dedup": OP6_SQL,
     "op11_divergence_cube": OP11_SQL,
     "op12_debruijn_spans": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
