@@ -23,8 +23,9 @@ Rows are dealt to data blocks of about ``BLOCK`` and anchors to blocks of about
 by a hash of a row number; each pair of blocks is one task, for the positives first and then,
 with the scores of the positives known, for the negatives.  Blocks' best rows are merged.
 
-Scores are computed as doubles where every partial sum is below 2**53, hence exact, and as
-Python's whole numbers beyond; a score that no long can hold is an error.
+Scores are computed in floating point where every partial sum is a whole number that the type
+holds exactly (below 2**24 or 2**53), and as Python's whole numbers beyond; a score that no
+long can hold is an error.
 
 Defined results: rows with null label or vector, or with null or non-finite components, take no
 part; zero vectors do, with score 0; vectors of different lengths are not compared; rows count
@@ -52,12 +53,16 @@ POSITIVES = 5
 NEGATIVES = 3
 BAND = (50, 95)
 LEVELS = 4
-PLANES = 8
+PLANES = 6
 BLOCK = 8_192
 LEAST_BLOCKS = 8
 QUERY_BLOCK = 16_384
 SEED = 20_240_613
+_CHUNK = 1_024
+# Level from which intervals are short enough for the k-th best lower bound to tell.
+_SETTLING = 2
 _EXACT = float(1 << 53)
+_EXACT_SINGLE = float(1 << 24)
 # Doubles of the filter are wrong by far less than this part of the two norms.
 _SLACK = 1e-9
 
@@ -78,7 +83,7 @@ def _bits(signs: np.ndarray) -> np.ndarray:
 
 
 class Coded(NamedTuple):
-    """Codes (level, row, word), alignments and norms of the rests (level, row), lengths (row)."""
+    """Codes (level, row, word), alignments and norms of the rests (level, row), norms (row)."""
 
     codes: np.ndarray
     align: np.ndarray
@@ -104,56 +109,76 @@ def encode(x: np.ndarray, levels: int = LEVELS) -> Coded:
     return Coded(np.array(codes), np.array(align), np.array(rest), norm)
 
 
-class Anchor:
-    """What the filter needs of one anchor: bit planes per level and the error of rounding."""
-
-    def __init__(self, vector: np.ndarray, levels: int = LEVELS, planes: int = PLANES):
-        dim = len(vector)
-        self.dim, self.planes = dim, planes
-        self.norm = float(np.sqrt(vector @ vector))
-        self.levels = []
-        for level in range(levels):
-            turned = vector @ rotation(dim, level)
-            low, high = float(turned.min()), float(turned.max())
-            step = (high - low) / ((1 << planes) - 1) or 1.0
-            whole = np.rint((turned - low) / step).astype(np.int64)
-            error = float(np.abs(turned - (low + step * whole)).sum()) / np.sqrt(dim)
-            bits = _bits(((whole[None, :] >> np.arange(planes)[:, None]) & 1).astype(bool))
-            self.levels.append((low, step, int(whole.sum()), bits, error))
-
-    def estimate(self, level: int, codes: np.ndarray) -> tuple[np.ndarray, float]:
-        """Inner products with code vectors, by population counts, and how wrong they may be."""
-        low, step, total, planes, error = self.levels[level]
-        ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
-        weighted = np.zeros(len(codes), dtype=np.int64)
-        for j in range(self.planes):
-            weighted += np.bitwise_count(codes & planes[j]).sum(axis=1, dtype=np.int64) << j
-        signed = low * (2 * ones - self.dim) + step * (2 * weighted - total)
-        return signed / np.sqrt(self.dim), error
+class Anchor(NamedTuple):
+    """What the filter needs of one anchor at each level."""
+
+    vector: np.ndarray
+    norm: float
+    low: np.ndarray
+    step: np.ndarray
+    total: np.ndarray
+    planes: np.ndarray
+    error: np.ndarray
+
+
+def anchors(vectors: np.ndarray, levels: int = LEVELS, planes: int = PLANES) -> Iterator[Anchor]:
+    """Rotates vectors and rounds them to bit planes; the errors of rounding are summed up."""
+    dim = vectors.shape[1]
+    low, step, total, bits, error = [], [], [], [], []
+    for level in range(levels):
+        turned = vectors @ rotation(dim, level)
+        least, most = turned.min(axis=1), turned.max(axis=1)
+        unit = np.where(most > least, (most - least) / ((1 << planes) - 1), 1.0)
+        whole = np.rint((turned - least[:, None]) / unit[:, None]).astype(np.int64)
+        rounded = least[:, None] + unit[:, None] * whole
+        low.append(least)
+        step.append(unit)
+        total.append(whole.sum(axis=1))
+        error.append(np.abs(turned - rounded).sum(axis=1) / np.sqrt(dim))
+        bits.append(np.stack([_bits((whole >> j & 1).astype(bool)) for j in range(planes)], axis=1))
+    norms = np.sqrt((vectors * vectors).sum(axis=1))
+    parts = [np.stack(x, axis=1) for x in (low, step, total, bits, error)]
+    for i, vector in enumerate(vectors):
+        yield Anchor(vector, float(norms[i]), *(x[i] for x in parts))
 
 
 class Interval:
-    """Bounds of the scores of some rows with one anchor, narrowed level by level."""
+    """Bounds of the scores of a block's rows with one anchor, narrowed level by level."""
 
-    def __init__(self, anchor: Anchor, coded: Coded, rows: np.ndarray):
-        self.anchor, self.coded, self.rows = anchor, coded, rows
-        self.sum = np.zeros(len(rows))
-        self.error = np.zeros(len(rows))
+    def __init__(self, anchor: Anchor, block: Block, start: int, end: int, taken: np.ndarray):
+        self.anchor = anchor
+        self.rows = np.arange(start, end)
+        self.taken = taken[start:end]
+        self.parts = [a[..., start:end] for a in (block.codes, block.ones, block.align, block.rest)]
+        self.sum = np.zeros(end - start)
+        self.error = np.zeros(end - start)
 
     def narrow(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        found, wrong = self.anchor.estimate(level, self.coded.codes[level, self.rows])
-        align = self.coded.align[level, self.rows]
-        self.sum += align * found
-        self.error += np.abs(align) * wrong
-        norm = self.coded.norm[self.rows]
-        half = self.error + self.coded.rest[level, self.rows] * self.anchor.norm
-        half += _SLACK * self.anchor.norm
-        return norm * (self.sum - half), norm * (self.sum + half)
+        """Lower and upper bounds, from population counts of this level and those before."""
+        at, (codes, ones, align, rest) = self.anchor, self.parts
+        weighted = np.zeros(len(self.rows), dtype=np.int32)
+        for word in range(codes.shape[1]):
+            for j in range(at.planes.shape[1]):
+                count = np.bitwise_count(codes[level, word] & at.planes[level, j, word])
+                weighted += np.left_shift(count, j, dtype=np.int32)
+        dim = len(at.vector)
+        root = np.sqrt(dim)
+        found = weighted * (2 * at.step[level] / root)
+        found += ones[level] * (2 * at.low[level] / root)
+        found -= (at.low[level] * dim + at.step[level] * at.total[level]) / root
+        found *= align[level]
+        self.sum += found
+        self.error += np.abs(align[level]) * at.error[level]
+        half = self.error + rest[level] * at.norm
+        return self.sum - half, self.sum + half
 
     def keep(self, staying: np.ndarray) -> None:
-        self.rows, self.sum, self.error = (
-            self.rows[staying], self.sum[staying], self.error[staying]
-        )
+        """Rows that are left; copied only where that saves work."""
+        left = np.flatnonzero(staying)
+        if 4 * len(left) <= 3 * len(staying):
+            self.rows, self.taken = self.rows[left], self.taken[left]
+            self.sum, self.error = self.sum[left], self.error[left]
+            self.parts = [a.take(left, axis=-1) for a in self.parts]
 
 
 def _best(values: np.ndarray, k: int) -> float:
@@ -161,36 +186,56 @@ def _best(values: np.ndarray, k: int) -> float:
     return float(np.partition(values, len(values) - k)[len(values) - k]) if len(values) >= k else -np.inf
 
 
-def exact(data: np.ndarray, vector: np.ndarray) -> list[int]:
+def exact(data: np.ndarray, vector: np.ndarray) -> np.ndarray:
     """Inner products as whole numbers."""
     if not len(data):
-        return []
-    most = np.abs(data).max() * np.abs(vector).max() * len(vector)
-    if most < _EXACT:
-        return (data @ vector).astype(np.int64).tolist()
+        return np.empty(0, dtype=np.int64)
+    bound = float(np.abs(data).max()) * float(np.abs(vector).max()) * len(vector)
+    if bound < (_EXACT if data.dtype == np.float64 else _EXACT_SINGLE):
+        return (data @ vector.astype(data.dtype)).astype(np.int64)
+    data = data.astype(np.float64)
+    if bound < _EXACT:
+        return (data @ vector).astype(np.int64)
     mine = [int(v) for v in vector]
     found = [sum(int(a) * b for a, b in zip(row, mine)) for row in data]
-    if any(not -(1 << 63) <= f < 1 << 63 for f in found):
+    if any(not -(1 << 63) < f < 1 << 63 for f in found):
         raise OverflowError("a score does not fit a long")
-    return found
+    return np.array(found, dtype=np.int64)
 
 
 def best_rows(
-    anchor: Anchor, vector: np.ndarray, block: Block, rows: np.ndarray, k: int,
-    band: tuple[float, float] = (-np.inf, np.inf),
-) -> list[tuple[int, int]]:
-    """Place in the block and score of the k best among ``rows`` inside the band, best first."""
-    interval = Interval(anchor, block.coded, rows)
-    for level in range(len(block.coded.codes)):
+    anchor: Anchor, block: Block, start: int, end: int, taken: np.ndarray, k: int,
+    bands: list[tuple[float, float]],
+) -> list[list[tuple[int, int]]]:
+    """For each band, place in the block and score of the k best rows in it, best first.
+
+    Rows from ``start`` to ``end`` take part where ``taken`` says so.
+    """
+    interval = Interval(anchor, block, start, end, taken)
+    open_bands = [b for b in bands if b[0] <= b[1]]
+    if not open_bands:
+        return [[] for _ in bands]
+    lowest, most = min(open_bands), max(b[1] for b in open_bands)
+    # Where one band has both the least edges, its k-th best bound is the least of all bands'.
+    telling = lowest[1] == min(b[1] for b in open_bands)
+    least = lowest[0]
+    for level in range(len(block.codes)):
         if len(interval.rows) <= k:
             break
         low, high = interval.narrow(level)
-        certain = low[(low >= band[0]) & (high <= band[1])]
-        interval.keep((high >= max(band[0], _best(certain, k))) & (low <= band[1]))
-    scores = exact(block.data[interval.rows], vector)
-    inside = [(r, s) for r, s in zip(interval.rows.tolist(), scores) if band[0] <= s <= band[1]]
-    inside.sort(key=lambda x: (-x[1], block.order[x[0]]))
-    return inside[:k]
+        if level >= _SETTLING and telling:
+            certain = low[interval.taken & (low >= lowest[0]) & (high <= lowest[1])]
+            least = max(least, _best(certain, k))
+        interval.keep(interval.taken & (high >= least) & (low <= most))
+    rows = interval.rows[interval.taken]
+    scores = exact(block.data[rows], anchor.vector)
+    found = []
+    for least, most in bands:
+        inside = np.flatnonzero((scores >= least) & (scores <= most))
+        inside = inside[scores[inside] >= _best(scores[inside], k)]
+        first = inside[np.lexsort((block.order[rows[inside]], -scores[inside]))][:k]
+        found.append(list(zip(rows[first].tolist(), scores[first].tolist())))
+    return found
 
 
 def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
@@ -198,20 +243,33 @@ def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
 
 
 class Block:
-    """The rows of one block that are searched."""
+    """The rows of one block that are searched, in order of their labels.
+
+    ``align`` and ``rest`` are those of the index times the rows' norms.
+    """
 
     def __init__(self, table: pa.Table):
+        table = table.sort_by("label")
         n = len(table)
         self.data = _matrix(table["v"], n)
+        if n and np.abs(self.data).max() <= _EXACT_SINGLE:
+            self.data = self.data.astype(np.float32)
         words = -(-self.data.shape[1] // 64)
         codes = _matrix(table["codes"], n).view(np.uint64).reshape(n, -1, words)
-        align, rest = _matrix(table["align"], n), _matrix(table["rest"], n)
-        self.coded = Coded(
-            codes.transpose(1, 0, 2).copy(), align.T.copy(), rest.T.copy(), table["norm"].to_numpy()
-        )
+        self.codes = codes.transpose(1, 2, 0).copy()
+        self.ones = np.bitwise_count(self.codes).sum(axis=1, dtype=np.int64)
+        norm = table["norm"].to_numpy()
+        self.align = _matrix(table["align"], n).T * norm
+        self.rest = (_matrix(table["rest"], n).T + _SLACK) * norm
         self.labels, self.rows = table["label"].to_numpy(), table["row"].to_numpy()
         self.ids = table["id"].to_pylist()
-        self.order = [(i is None, i or 0) for i in self.ids]
+        sooner = sorted(range(n), key=lambda i: (self.ids[i] is None, self.ids[i] or 0, self.rows[i]))
+        self.order = np.empty(n, dtype=np.int64)
+        self.order[sooner] = np.arange(n)
+
+    def same(self, label: int) -> tuple[int, int]:
+        """Where the rows of a label start and end."""
+        return tuple(np.searchsorted(self.labels, [label, label + 1]).tolist())
 
 
 _FOUND = {
@@ -221,17 +279,18 @@ _FOUND = {
 
 
 def _search(how):
-    """Runs ``how(anchor's columns, anchor, its vector, block)`` for a pair of blocks."""
+    """Runs ``how(an anchor's columns, the anchor, block)`` for a pair of blocks."""
 
     def group(table: pa.Table) -> pa.Table:
         asked = table["asked"].combine_chunks()
-        data, anchors = table.filter(pc.invert(asked)), table.filter(asked)
+        data, queries = table.filter(pc.invert(asked)), table.filter(asked)
         out: list[tuple] = []
-        if len(data) and len(anchors):
-            block, vectors = Block(data), _matrix(anchors["v"], len(anchors))
-            told = anchors.select(["row", "id", "label", "positives"]).to_pylist()
-            for at, vector in zip(told, vectors):
-                for place, row, score, *positive in how(at, Anchor(vector), vector, block):
+        block = Block(data) if len(data) and len(queries) else None
+        for start in range(0, len(queries) if block else 0, _CHUNK):
+            part = queries.slice(start, _CHUNK)
+            told = part.select(["row", "id", "label", "positives"]).to_pylist()
+            for at, anchor in zip(told, anchors(_matrix(part["v"], len(part)))):
+                for place, row, score, *positive in how(at, anchor, block):
                     out.append((
                         at["row"], at["id"], place, int(block.rows[row]), block.ids[row], score,
                         *(positive or (None, None)),
@@ -243,27 +302,28 @@ def _search(how):
 
 
 def _positives(k: int):
-    def how(at, anchor, vector, block):
-        rows = np.flatnonzero((block.labels == at["label"]) & (block.rows != at["row"]))
-        return [(0, r, s) for r, s in best_rows(anchor, vector, block, rows, k)]
+    def how(at, anchor, block):
+        found = best_rows(
+            anchor, block, *block.same(at["label"]), block.rows != at["row"], k, [(-np.inf, np.inf)]
+        )
+        return [(0, r, s) for r, s in found[0]]
 
     return how
 
 
 def _negatives(k: int, band: tuple[int, int]):
-    def how(at, anchor, vector, block):
-        rows = np.flatnonzero(block.labels != at["label"])
-        found, known = [], {}
-        for place, positive in enumerate(at["positives"]):
-            score = positive["score"]
-            if score not in known:
-                # The whole scores s with band[0] * score <= 100 s <= band[1] * score.
-                edges = -(-band[0] * score // 100), band[1] * score // 100
-                known[score] = (
-                    best_rows(anchor, vector, block, rows, k, edges) if edges[0] <= edges[1] else []
-                )
-            found += [(place, r, s, positive["id"], score) for r, s in known[score]]
-        return found
+    def how(at, anchor, block):
+        told = at["positives"]
+        # The whole scores s with band[0] * score <= 100 s <= band[1] * score.
+        edges = [(-(-band[0] * p["score"] // 100), band[1] * p["score"] // 100) for p in told]
+        found = best_rows(
+            anchor, block, 0, len(block.rows), block.labels != at["label"], k, edges
+        )
+        return [
+            (place, r, s, p["id"], p["score"])
+            for place, (p, rows) in enumerate(zip(told, found))
+            for r, s in rows
+        ]
 
     return how
 
