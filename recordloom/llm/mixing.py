@@ -32,6 +32,7 @@ from recordloom.llm.common import keep, without, word_count
 WEIGHTS = 3
 CEILING = 3
 FAN = 64
+PART = 4_096
 # Sources up to this number are broadcast (one row of about 60 bytes each, so 6 MB).
 BROADCAST_SOURCES = 100_000
 _EXACT = 1e-9
@@ -76,7 +77,7 @@ transform(array(named_struct(
     'take', least(acc.open.size * acc.open.p, x.size * (1 - x.p)))), s ->
 transform(array(named_struct(
     'o', s.o, 'x', s.x,
-    'd', CASE WHEN shiftrightunsigned(xxhash64(s.o.key, s.o.id, s.x.key, s.x.id, {{level}}), 11)
+    'd', CASE WHEN shiftrightunsigned(xxhash64(s.o.h, s.x.h, {{level}}), 11)
                    / 9007199254740992D * (s.give + s.take) < s.take
               THEN s.give ELSE -s.take END)), t ->
 transform(array(named_struct(
@@ -110,21 +111,38 @@ def _fold(level: int) -> str:
     """
 
 
+def _numbered(sizes: DataFrame) -> DataFrame:
+    """The rows with ``copy``, a number that tells rows apart that are equal in all else.
+
+    Equal rows are counted and the counts are dealt out again in parts of ``PART``, so that a
+    row that occurs very often is neither sorted nor written out by one task.
+    """
+    same = ["id", "key", "source", "size"]
+    counted = keep(sizes.groupBy(*same).agg(F.count("*").alias("times")))
+    once = counted.where("times = 1").select(*same, F.lit(0).cast("long").alias("copy"))
+    parts = F.explode(F.expr(f"sequence(0L, (times - 1) div {PART})")).alias("part")
+    many = counted.where("times > 1").select(*same, "times", parts)
+    many = many.repartition("id", "key", "part").select(
+        *same, F.explode(F.expr(f"sequence(part * {PART}, least(times, (part + 1) * {PART}) - 1)")).alias("copy")
+    )
+    return once.unionByName(many)
+
+
 def round_copies(
     sizes: DataFrame, id_col: str = "doc_id", fan: int = FAN
 ) -> DataFrame:
     """Adds to id, key, source, size: source_size, target, copies (0 to the ceiling).
 
-    ``key`` is a hash of the row that tells rows with the same id apart.
+    ``key`` is a hash of id, text and source, which tells rows with the same id apart.
     """
-    sizes = keep(sizes.select(F.col(id_col).alias("id"), "key", "source", "size"))
+    sizes = keep(_numbered(sizes.select(F.col(id_col).alias("id"), "key", "source", "size")))
     per = keep(targets(sizes))
     n_sources, most = per.agg(F.count("*"), F.max("n_open")).first()
     side = F.broadcast(per) if n_sources <= BROADCAST_SOURCES else per
     rows = sizes.alias("d").join(side.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
     whole = F.floor(F.col("share") + F.lit(_EXACT))
     rows = rows.select(
-        "id", "key", "d.source", "size", "source_size", "target", "n_open",
+        "id", "key", "copy", "d.source", "size", "source_size", "target", "n_open",
         whole.cast("long").alias("whole"),
         F.greatest(F.lit(0.0), F.col("share") - whole).alias("p"),
     )
@@ -135,7 +153,7 @@ def round_copies(
             "id", "key", "size", F.lit(False).alias("up"), *carried
         )
     ]
-    h = F.xxhash64("id", "key")
+    h = F.xxhash64("id", "key", "copy")
     groups = F.ceil(F.col("n_open") / F.lit(float(fan)))
     level_rows = rows.where(~settled).select(
         *carried, F.pmod(h, groups).alias("slot"),
@@ -178,8 +196,9 @@ def round_copies(
     )
 
 
-def row_key(id_col: str, text: Column) -> Column:
-    return F.xxhash64(F.col(id_col), text)
+def row_key(id_col: str, text_col: str, source_col: str) -> Column:
+    # A hash passes over nulls; the mark keeps a null text and a null source apart.
+    return F.xxhash64(id_col, text_col, F.col(text_col).isNull(), source_col)
 
 
 def mix(
@@ -187,7 +206,7 @@ def mix(
 ) -> DataFrame:
     """The plan of the mix, one row per row of the table."""
     sizes = df.select(
-        F.col(id_col), row_key(id_col, F.col(text_col)).alias("key"),
+        F.col(id_col), row_key(id_col, text_col, source_col).alias("key"),
         F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
     )
     return round_copies(sizes, id_col)
@@ -205,7 +224,7 @@ def mixed_rows(
     rows = without(df, ["_plan_id", "_key", "_copies"]).select(
         "*",
         F.coalesce(F.col(id_col), F.lit(0)).alias("_plan_id"),
-        row_key(id_col, F.col(text_col)).alias("_key"),
+        row_key(id_col, text_col, source_col).alias("_key"),
     )
     joined = rows.dropDuplicates(["_plan_id", "_key"]).join(
         plan.where("_copies > 0"), ["_plan_id", "_key"]
