@@ -1,10 +1,9 @@
 """Packing into optimal length buckets.
 
-The histogram of lengths over all documents is one row per length class: lengths up to
-``EXACT`` words are classes of their own, longer ones are rounded up in steps of 1/128 or
-less, so there are at most a few thousand classes however long documents get.  Dynamic
-programming over it chooses at most ``n_buckets`` upper bounds so that the padding of all
-documents to their bucket's bound is least.  Inside a bucket, batches hold as many documents
+The histogram of lengths over all documents has one row per length that occurs: as many as the
+longest document has words at most, whatever the number of documents.  Dynamic programming over it chooses
+at most ``n_buckets`` upper bounds so that the padding of all documents to their bucket's bound
+is least.  Inside a bucket, batches hold as many documents
 as the token budget allows at that length, one at least; only the last batch of a bucket is
 not full.
 
@@ -20,7 +19,7 @@ an empty table gives an empty result; columns with the added names are replaced.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import without, word_count
@@ -28,51 +27,53 @@ from recordloom.operators.once import once
 
 N_BUCKETS = 12
 TOKEN_BUDGET = 32_768
-EXACT = 1_024
-STEPS = 128
 PART = 8_192
 ADDED = ["length", "bucket", "bucket_length", "batch_id", "slot"]
 
 
-def length_class(length: Column) -> Column:
-    """The length rounded up to its class, never by more than 1/128 of it."""
-    step = F.expr(
-        f"shiftleft(1L, cast(greatest(0, floor(log2(greatest(length, 1))) - {10}) AS int))"
-        .replace("length", "`_length`")
-    ) * (EXACT // STEPS)
-    rounded = F.ceil(length / step).cast("long") * step
-    return F.when(length <= EXACT, length).otherwise(rounded)
-
-
 def best_bounds(classes: np.ndarray, counts: np.ndarray, n_buckets: int) -> list[int]:
-    """The bounds, ascending, that minimise ``sum(count * (bound - class))``."""
+    """The bounds, ascending, that minimise ``sum(count * (bound - class))``.
+
+    Buckets that end at class j and begin at class i cost ``class_j * (below_j+1 - below_i)``
+    words, padding included: lines in class_j, of which the lower envelope is kept while j
+    rises, so each bucket takes one pass over the classes.  All sums are whole numbers.
+    """
     n = len(classes)
     if not n:
         return []
-    k = min(n_buckets, n)
-    below = np.concatenate([[0], np.cumsum(counts.astype(np.float64))])
-    # The sum of lengths is the same for every choice, so padded words alone are compared.
-    cost = classes.astype(np.float64) * below[1:]
-    cut = np.zeros((k, n), dtype=np.int64)
-    for b in range(1, k):
-        now = np.empty(n)
-        for j in range(n):
-            if j == 0:
-                now[0] = cost[0]
-                continue
-            options = cost[:j] + classes[j] * (below[j + 1] - below[1 : j + 1])
-            i = int(np.argmin(options))
-            whole = classes[j] * below[j + 1]
-            if options[i] < whole:
-                now[j], cut[b, j] = options[i], i + 1
-            else:
-                now[j], cut[b, j] = whole, 0
+    lengths = [int(c) for c in classes]
+    below = [0]
+    for count in counts:
+        below.append(below[-1] + int(count))
+    cost = [c * w for c, w in zip(lengths, below[1:])]
+    starts: list[list[int]] = []
+    for _ in range(min(n_buckets, n) - 1):
+        now, start = [], []
+        # Lines (slope, height, first class); slopes fall, so the best one moves to the right.
+        lines: list[tuple[int, int, int]] = []
+        at = 0
+        for j, x in enumerate(lengths):
+            new = (-below[j], cost[j - 1] if j else 0, j)
+            while len(lines) > 1:
+                (m1, b1, _), (m2, b2, _) = lines[-2:]
+                if (new[1] - b1) * (m1 - m2) > (b2 - b1) * (m1 - new[0]):
+                    break
+                lines.pop()
+            lines.append(new)
+            at = min(at, len(lines) - 1)
+            while at + 1 < len(lines) and (
+                lines[at + 1][0] * x + lines[at + 1][1] < lines[at][0] * x + lines[at][1]
+            ):
+                at += 1
+            slope, height, i = lines[at]
+            now.append(slope * x + height + x * below[j + 1])
+            start.append(i)
         cost = now
-    bounds, j, b = [], n, k - 1
+        starts.append(start)
+    bounds, j = [], n
     while j > 0:
-        bounds.append(int(classes[j - 1]))
-        j = int(cut[b, j - 1]) if b else 0
-        b -= 1
+        bounds.append(lengths[j - 1])
+        j = starts.pop()[j - 1] if starts else 0
     return bounds[::-1]
 
 
@@ -86,8 +87,7 @@ def pack(
     """The rows with length, bucket, bucket_length, batch_id and slot (place in the batch)."""
     df = without(df, ADDED)
     rows = once(df, "_length", word_count(F.col(text_col)))
-    rows = rows.withColumn("_class", length_class(F.col("_length")))
-    histogram = rows.groupBy("_class").count().orderBy("_class").collect()
+    histogram = rows.groupBy("_length").count().orderBy("_length").collect()
     bounds = best_bounds(
         np.array([r[0] for r in histogram], dtype=np.int64),
         np.array([r[1] for r in histogram], dtype=np.int64),
@@ -101,7 +101,7 @@ def pack(
     # The last bucket takes what lies above, which nothing does.
     bucket = F.lit(max(0, len(bounds) - 1))
     for i in reversed(range(len(bounds))):
-        bucket = F.when(F.col("_class") <= bounds[i], F.lit(i)).otherwise(bucket)
+        bucket = F.when(F.col("_length") <= bounds[i], F.lit(i)).otherwise(bucket)
     parts = F.array(*[F.lit(max(1, -(-n // PART))) for n in sizes])
     h = F.xxhash64(F.col(id_col), F.col("_length"))
     rows = rows.withColumn("_bucket", bucket)
