@@ -41,6 +41,22 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+class Apart:
+    """A table whose columns stand under names of their own while an operator adds others."""
+
+    def __init__(self, df: DataFrame):
+        self.names = df.columns
+        self.own = [f"own_{i}" for i in range(len(self.names))]
+        self.table = df.toDF(*self.own)
+
+    def __getitem__(self, name: str) -> str:
+        return self.own[[n.lower() for n in self.names].index(name.lower())]
+
+    def back(self, df: DataFrame) -> DataFrame:
+        """The table's columns out of a result that still holds them, under their first names."""
+        return df.select(*self.own).toDF(*self.names)
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table that ``keep`` wrote, once all that read it is written itself."""
     context = table.sparkSession.sparkContext

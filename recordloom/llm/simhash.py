@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import keep
+from recordloom.llm.common import Apart, keep
 from recordloom.shipping import ship_package
 
 SHINGLE = 4
@@ -220,20 +220,49 @@ def groups(edges: DataFrame) -> DataFrame:
     return labels if turn else spark.createDataFrame([], "node bigint, group bigint")
 
 
+def _grouped(distinct: DataFrame) -> DataFrame:
+    """fp and group of every distinct fingerprint; the group is one of its fingerprints."""
+    label = groups(links(distinct.select("fp")))
+    return distinct.join(label, distinct["fp"] == label["node"], "left").select(
+        *distinct.columns, F.coalesce("group", "fp").alias("group")
+    )
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
     """Id, fp (signed long) and component_id of every row."""
     marked = keep(fingerprints(df, id_col, text_col, shingle))
     distinct = keep(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    label = groups(links(distinct.select("fp")))
-    named = distinct.join(label, distinct["fp"] == label["node"], "left").select(
-        "fp", "least", F.coalesce("group", "fp").alias("group")
-    )
+    named = _grouped(distinct)
     least = keep(named.groupBy("group").agg(F.min("least").alias("component_id")))
     per = keep(named.select("fp", "group").join(least, "group").select("fp", "component_id"))
     return marked.join(per, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def survivors(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
+    """The rows of which one stays per group: the one with the smallest id, nulls last.
+
+    Rows stay or go by a number of their own, so null or repeated ids take no others along; of
+    equal ids the row with the smaller hash of its text stays.  All columns are kept, whatever
+    their names.
+    """
+    apart = Apart(df)
+    id_own, text_own = apart[id_col], apart[text_col]
+    rows = keep(apart.table.withColumn("row", F.monotonically_increasing_id()))
+    prints = keep(fingerprints(rows, "row", text_own, shingle).withColumnRenamed("id", "row"))
+    order = F.struct(
+        F.col(id_own).isNull(), F.col(id_own), F.xxhash64(text_own).alias("h"), "row"
+    ).alias("first")
+    # The best row of every fingerprint, then of every group.
+    ranked = prints.join(rows.select("row", order), "row").select("fp", "first")
+    distinct = keep(ranked.groupBy("fp").agg(F.min("first").alias("first")))
+    staying = _grouped(distinct).groupBy("group").agg(F.min("first").alias("first"))
+    staying = keep(staying.select("first.row"))
+    return apart.back(rows.join(staying, "row", "left_semi"))
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
