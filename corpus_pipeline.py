@@ -15,47 +15,48 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from recordloom.llm.common import keep, read  # noqa: E402
+from recordloom.llm.common import Apart, keep, read, without  # noqa: E402
 from recordloom.llm.exact_dedup import ExactDedup  # noqa: E402
 from recordloom.llm.language import UNKNOWN, identify  # noqa: E402
 from recordloom.llm.mixing import mixed_rows  # noqa: E402
-from recordloom.llm.near import linked  # noqa: E402
-from recordloom.llm.packing import pack  # noqa: E402
+from recordloom.llm.packing import ADDED, pack  # noqa: E402
+from recordloom.llm.simhash import survivors  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without text or letters go."""
-    found = identify(docs).where(F.col("lang_pred") != UNKNOWN)
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = Apart(docs)
+    found = identify(rows.table, rows["doc_id"], rows["text"], rows["lang"])
+    return rows.back(found.where(F.col("lang_pred") != UNKNOWN))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest id."""
-    return ExactDedup(docs).survivors()
+    rows = Apart(docs)
+    return rows.back(ExactDedup(rows.table, rows["doc_id"], rows["text"]).survivors())
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked texts, the row with the smallest id, ids that are null last.
-
-    Rows stay or go by a number of their own, so null or repeated ids take no others along.
-    """
-    found = linked(docs)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
-    first = found.groupBy("_group").agg(F.min(order)["_row"].alias("_row"))
-    staying = found.join(first.select("_row"), "_row", "left_semi")
-    return staying.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Of every group of linked fingerprints, the document with the smallest id, nulls last."""
+    return survivors(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as its source's target asks for."""
-    return mixed_rows(docs)
+    rows = Apart(docs)
+    return rows.back(mixed_rows(rows.table, rows["doc_id"], rows["text"], rows["source"]))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their place in token-budget batches of like length."""
-    return pack(docs)
+    """The documents with their place in token-budget batches of like length.
+
+    Columns of the added names are replaced; all others stay as they are.
+    """
+    rows = Apart(without(docs, ADDED))
+    packed = pack(rows.table, rows["doc_id"], rows["text"])
+    return packed.toDF(*rows.names, *ADDED)
 
 
 STAGES: list[tuple[str, Stage]] = [
