@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.llm.common import Apart, keep
 from recordloom.shipping import ship_package
@@ -69,21 +70,28 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(on.view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """Id and fingerprint (as a signed long), one row per row."""
+def marked(df: DataFrame, text_col: str, shingle: int = SHINGLE) -> DataFrame:
+    """The rows with ``fp``, the fingerprint (as a signed long) of their text, in its place."""
     ship_package(df.sparkSession)
+    at = df.columns.index(text_col)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array(
-                [fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"]
+                [fingerprint(t.as_py(), shingle) for t in batch.column(at)], dtype=np.uint64
             )
+            columns = [*batch.columns[:at], *batch.columns[at + 1 :], pa.array(found.view(np.int64))]
+            names = [*batch.schema.names[:at], *batch.schema.names[at + 1 :], "fp"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    kept = [f for f in df.schema.fields if f.name != text_col]
+    return df.mapInArrow(add, T.StructType([*kept, T.StructField("fp", T.LongType())]))
 
-    chosen = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(add, "id bigint, fp bigint")
+
+def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
+    """Id and fingerprint (as a signed long), one row per row."""
+    chosen = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return marked(chosen, "text", shingle)
 
 
 def _segments(start: int, distances: tuple[int, ...]) -> list[int]:
@@ -250,18 +258,21 @@ def survivors(
     their names.
     """
     apart = Apart(df)
-    id_own, text_own = apart[id_col], apart[text_col]
     rows = keep(apart.table.withColumn("row", F.monotonically_increasing_id()))
-    prints = keep(fingerprints(rows, "row", text_own, shingle).withColumnRenamed("id", "row"))
-    order = F.struct(
-        F.col(id_own).isNull(), F.col(id_own), F.xxhash64(text_own).alias("h"), "row"
-    ).alias("first")
-    # The best row of every fingerprint, then of every group.
-    ranked = prints.join(rows.select("row", order), "row").select("fp", "first")
-    distinct = keep(ranked.groupBy("fp").agg(F.min("first").alias("first")))
-    staying = _grouped(distinct).groupBy("group").agg(F.min("first").alias("first"))
-    staying = keep(staying.select("first.row"))
-    return apart.back(rows.join(staying, "row", "left_semi"))
+    text = F.col(apart[text_col])
+    chosen = rows.select("row", F.col(apart[id_col]).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    prints = keep(marked(chosen, "text", shingle))
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "h", "row")
+    distinct = keep(
+        prints.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    )
+    named = keep(_grouped(distinct))
+    several = named.groupBy("group").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+    several = several.where("n > 1").select("group", F.col("first.row").alias("stays"))
+    per = named.select("fp", "group").join(several, "group")
+    going = keep(prints.join(per, "fp").where("row <> stays").select("row"))
+    # The list of rows that go is broadcast by the engine if it is small; else both are sorted.
+    return apart.back(rows.join(going, "row", "left_anti"))
 
 
 def hexadecimal(fp: Column) -> Column:
