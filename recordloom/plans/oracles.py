@@ -189,6 +189,7 @@ ORACLES: dict[str, str] = {
         "text AS prompt FROM documents"
     ),
     "prompt_count": "SELECT count(*) AS n FROM documents",
+    "prompt_list_files": "SELECT doc_id, text AS prompt FROM documents WHERE text IS NOT NULL",
     "prompt_list_rows": f"""
 SELECT doc_id, CAST(nr - 1 AS BIGINT) AS pos, line AS prompt
 FROM (SELECT doc_id, unnest({_LINES}) AS line, generate_subscripts({_LINES}, 1) AS nr

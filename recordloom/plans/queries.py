@@ -21,7 +21,13 @@ from recordloom.operators.once import once
 from recordloom.schema import json_schema_text
 from recordloom.sinks.jsonl import SINK_COLUMN, read_jsonl, result_rows, sink_rows, write_jsonl
 from recordloom.sinks.staging import scratch_path, stage
-from recordloom.sources.prompts import explode_prompt_lists, prompts_from_table
+from recordloom.sources.prompt_lists import PromptLists, write_prompt_lists
+from recordloom.sources.prompts import (
+    check_prompt_files,
+    explode_prompt_lists,
+    prompts_from_table,
+    read_prompts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +136,23 @@ def prompt_list_rows(spark: SparkSession, folder: str) -> DataFrame:
     return explode_prompt_lists(listed, "doc_id").withColumn("pos", F.col("pos").cast("bigint"))
 
 
+def prompt_list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents written as JSON list files, one list per task, and read back in splits.
+
+    The number in front of each text takes the place of its position, which the tasks decide.
+    """
+    path = scratch_path(spark, "lists")
+    numbered = F.concat_ws(" ", F.col("doc_id").cast("string"), "prompt").alias("prompt")
+    write_prompt_lists(documents(spark, folder).select(numbered), path)
+    lists = PromptLists(spark, path)
+    check_prompt_files(spark, lists)
+    at = F.instr("prompt", " ")
+    return read_prompts(spark, lists).select(
+        F.expr("cast(substring_index(prompt, ' ', 1) AS bigint)").alias("doc_id"),
+        F.col("prompt").substr(at + 1, F.length("prompt")).alias("prompt"),
+    )
+
+
 def prompt_list_check(spark: SparkSession, folder: str) -> DataFrame:
     """The whole-file verdict on good and damaged lists."""
     good = F.to_json(F.split("prompt", "\n"))
@@ -501,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "prompts_from_documents": prompts_from_documents,
     "prompt_count": prompt_count,
     "prompt_list_rows": prompt_list_rows,
+    "prompt_list_files": prompt_list_files,
     "prompt_list_check": prompt_list_check,
     "tolerant_setting": tolerant_setting,
     "chat_messages": chat_message_rows,

@@ -22,6 +22,7 @@ from recordloom.schema import json_schema_text
 from recordloom.settings import RunConfig
 from recordloom.sinks.jsonl import result_rows, run_name, sink_rows, write_jsonl
 from recordloom.sinks.staging import shared_folder, stage
+from recordloom.sources.prompt_lists import PromptLists
 from recordloom.sources.prompts import check_prompt_files, read_prompts
 
 # Prompts of one task where they are dealt anew: what a lost task repeats at most.
@@ -85,8 +86,9 @@ def run(
     """
     started = time.perf_counter()
     if prompts is None:
-        n_prompts = check_prompt_files(spark, config.prompts_path).n_prompts
-        prompts = read_prompts(spark, config.prompts_path)
+        lists = PromptLists(spark, config.prompts_path)
+        n_prompts = check_prompt_files(spark, lists).n_prompts
+        prompts = read_prompts(spark, lists)
         partitions = partitions or max(config.replicas, -(-n_prompts // rows_per_task))
     else:
         n_prompts = prompts.count()

@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 from recordloom.functions import json_text
 from recordloom.operators.once import once
 from recordloom.sinks.staging import scratch_path
-
-_NOT_A_LIST = "is not a JSON list of strings"
+from recordloom.sources.prompt_lists import NOT_A_LIST, PromptLists
 
 
 class PromptFiles(NamedTuple):
@@ -40,13 +39,6 @@ def prompt_id(*parts: Column) -> Column:
     return F.sha2(F.to_json(F.array(*[p.cast("string") for p in parts])), 256)
 
 
-def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per non-empty file: path and whole text."""
-    return spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
-    )
-
-
 def explode_prompt_lists(lists: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     """``keep`` columns, ``pos`` and ``prompt`` of every string in each row's list.
 
@@ -54,7 +46,7 @@ def explode_prompt_lists(lists: DataFrame, *keep: str, text: str = "text") -> Da
     row that is not a list of strings stops the query, whichever rows are asked for.
     """
     source = F.col(text)
-    refused = F.concat_ws(" ", *[F.col(k) for k in keep], F.lit(_NOT_A_LIST))
+    refused = F.concat_ws(" ", *[F.col(k) for k in keep], F.lit(NOT_A_LIST))
     prompts = (
         F.when(~json_text.is_string_list(source, "_elements"), F.raise_error(refused))
         .when(json_text.is_empty_list(source), F.array().cast("array<string>"))
@@ -67,53 +59,38 @@ def explode_prompt_lists(lists: DataFrame, *keep: str, text: str = "text") -> Da
 
 
 def read_prompts(
-    spark: SparkSession, paths: str | list[str], partitions: int | None = None
+    spark: SparkSession, paths: str | list[str] | PromptLists, partitions: int | None = None
 ) -> DataFrame:
     """Prompts of one or more JSON list files: ``prompt_id``, ``path``, ``pos``, ``prompt``.
 
-    ``paths`` may be files, directories or globs.  Reading a file that is not a list of
-    strings fails; :func:`check_prompt_files` finds all of them beforehand, and empty
-    files too, which Spark's readers skip.  A file is one row until its list is exploded, so a single file is read by one task; ``partitions`` spreads the prompts
-    afterwards.  Very large prompt sets belong in a splittable table
-    (:func:`prompts_from_table`).
+    ``paths`` may be files, directories or globs, or the lists that
+    :func:`check_prompt_files` has scanned already.  A file is read by as many tasks as it has
+    splits.  Reading a file that is not a list of strings fails; :func:`check_prompt_files` finds
+    all of them beforehand.  ``partitions`` deals the prompts out anew afterwards.
     """
-    rows = explode_prompt_lists(_files(spark, paths), "path")
+    lists = paths if isinstance(paths, PromptLists) else PromptLists(spark, paths)
+    rows = lists.prompts()
     identity = prompt_id(F.col("path"), F.col("pos"), F.col("prompt"))
     prompts = rows.select(identity.alias("prompt_id"), "path", "pos", "prompt")
     return prompts if partitions is None else prompts.repartition(partitions)
 
 
-def check_prompt_files(spark: SparkSession, paths: str | list[str]) -> PromptFiles:
+def check_prompt_files(spark: SparkSession, paths: str | list[str] | PromptLists) -> PromptFiles:
     """Check every file before any model runs; counts of files and prompts, or an error.
 
     A missing path raises Spark's own PATH_NOT_FOUND error.  Bad files, empty ones among
-    them (Spark's readers skip those, so they come from the listing that Spark itself
-    holds), are all written to a table that the error names.
+    them, are all written to a table that the error names.
     """
-    files = _files(spark, paths)
-    checked = once(files, "_elements", json_text.prompt_list(F.col("text"))).select(
-        "path",
-        json_text.is_string_list(F.col("text"), "_elements").alias("ok"),
-        F.when(json_text.is_empty_list(F.col("text")), 0)
-        .otherwise(F.size("_elements") - 1).cast("bigint").alias("n_prompts"),
-    )
-    # Listing and scan write the same path with one slash or three.
-    listed = files.inputFiles()
-    one_slash = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/").alias("path")
-    named = spark.createDataFrame([(p,) for p in listed], "path string").select(one_slash)
-    empty = named.join(files.select(one_slash), "path", "left_anti")
-    verdicts = checked.unionByName(empty.select(
-        "path", F.lit(False).alias("ok"), F.lit(0).cast("bigint").alias("n_prompts")
-    ))
-    totals = verdicts.agg(
+    lists = paths if isinstance(paths, PromptLists) else PromptLists(spark, paths)
+    totals = lists.files.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(~F.col("ok")).alias("bad"),
         F.coalesce(F.sum("n_prompts"), F.lit(0)).alias("n_prompts"),
     ).first()
     if totals["bad"]:
         table = scratch_path(spark, "bad-prompt-files")
-        reason = F.concat_ws(" ", "path", F.lit(_NOT_A_LIST)).alias("reason")
-        verdicts.where(~F.col("ok")).select("path", reason).write.parquet(table)
+        reason = F.concat_ws(" ", "path", F.lit(NOT_A_LIST)).alias("reason")
+        lists.files.where(~F.col("ok")).select("path", reason).write.parquet(table)
         raise PromptFileError(totals["bad"], table)
     return PromptFiles(totals["n"], totals["n_prompts"])
 
