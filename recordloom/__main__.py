@@ -1,4 +1,7 @@
-"""``python -m recordloom module:factory``: one run with the settings of the environment."""
+"""``python -m recordloom module:factory [folder]``: one run with the settings of the environment.
+
+With the folder of a run that failed, that run goes on where it stopped.
+"""
 
 from __future__ import annotations
 
@@ -26,14 +29,14 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
 
     A session that is handed in stays open; its own one is stopped at the end.
     """
-    if len(arguments) != 1:
-        print("usage: python -m recordloom module:factory", file=sys.stderr)
+    if len(arguments) not in (1, 2):
+        print("usage: python -m recordloom module:factory [folder of a run]", file=sys.stderr)
         return 2
     session = spark
     try:
         config, factory = from_env(), backend_named(arguments[0])
         session = session or SparkSession.builder.appName("recordloom").getOrCreate()
-        print(run(session, config, factory))
+        print(run(session, config, factory, resume=arguments[1] if arguments[1:] else None))
         return 0
     except Exception:
         traceback.print_exc()

@@ -21,7 +21,7 @@ from recordloom.operators.measure import RULES, check_counted, counted
 from recordloom.schema import json_schema_text
 from recordloom.settings import RunConfig
 from recordloom.sinks.jsonl import result_rows, run_name, sink_rows, write_jsonl
-from recordloom.sinks.staging import shared_folder, stage
+from recordloom.sinks.staging import remove, shared_folder, stage, stage_parts, staged_parts
 from recordloom.sources.prompt_lists import PromptLists
 from recordloom.sources.prompts import check_prompt_files, read_prompts
 
@@ -71,6 +71,8 @@ def run(
     on_error: str = "fail",
     profile: ResourceProfile | None = None,
     moment: datetime | None = None,
+    resume: str | None = None,
+    keep_raw: bool = False,
 ) -> RunResult:
     """Read prompts, generate, stage the raw text once, check it and save everything.
 
@@ -83,6 +85,11 @@ def run(
         output/     JSON Lines of every generated text
 
     Any failure raises; an output path that exists or cannot be written fails at once.
+
+    The raw texts are staged task by task.  ``resume`` names the folder of a run that failed or was
+    killed: prompts whose texts are staged are not asked for again, all others are, and records
+    and output are written anew.  Prompts and settings have to be those of the first run.  The
+    raw table is removed at the end unless ``keep_raw``; it stays after a failure.
     """
     started = time.perf_counter()
     if prompts is None:
@@ -95,39 +102,53 @@ def run(
     if not n_prompts:
         return RunResult()
 
-    folder = f"{config.output_dir.rstrip('/')}/{run_name(config.job_id, moment or datetime.now())}"
-    _save_settings(spark, config, folder)
+    if resume is None:
+        moment = moment or datetime.now()
+        folder = f"{config.output_dir.rstrip('/')}/{run_name(config.job_id, moment)}"
+        # Staged in the folder all executors share; the output folder is shared by nature.
+        base = staging_dir or shared_folder(spark) or folder
+        raw_path = f"{base.rstrip('/')}/raw-{uuid.uuid4().hex}"
+        _save_settings(spark, config, folder, raw_path)
+    else:
+        folder = resume.rstrip("/")
+        raw_path = _settings_of(spark, config, folder)
     schema_text = json_schema_text()
-    requests = build_requests(
-        spread(prompts, partitions),
-        system_text=system_text,
-        schema_text=schema_text,
-        temperature=config.temperature,
-        max_tokens=config.max_new_tokens,
-        top_p=config.top_p,
-        top_k=config.top_k,
-    )
-    generated = generate(
-        requests,
-        factory,
-        options=config.backend_options(),
-        schema_text=schema_text,
-        batch_size=config.batch_size,
-        on_error=on_error,
-        profile=profile,
-    )
+
+    def answered(asked: DataFrame) -> DataFrame:
+        requests = build_requests(
+            spread(asked, partitions),
+            system_text=system_text,
+            schema_text=schema_text,
+            temperature=config.temperature,
+            max_tokens=config.max_new_tokens,
+            top_p=config.top_p,
+            top_k=config.top_k,
+        )
+        return generate(
+            requests,
+            factory,
+            options=config.backend_options(),
+            schema_text=schema_text,
+            batch_size=config.batch_size,
+            on_error=on_error,
+            profile=profile,
+        )
+
+    schema = answered(prompts).schema
+    done = staged_parts(spark, raw_path, schema)
+    if done is not None:
+        # By rows and their number, not by id alone: equal prompts may share an id.
+        prompts = prompts.exceptAll(done.select(*prompts.columns))
     seen = Observation("generated")
-    generated = generated.observe(
-        seen,
+    measures = [
         F.count(F.lit(1)).alias("n"),
         F.count("generation_error").alias("n_failed"),
         F.coalesce(F.sum("n_output_tokens"), F.lit(0)).alias("n_output_tokens"),
-    )
-    # Staged in the folder all executors share; the output folder is shared by nature.
-    base = staging_dir or shared_folder(spark) or folder
-    raw_path = f"{base.rstrip('/')}/raw-{uuid.uuid4().hex}"
-    raw = stage(generated, raw_path)
-    counts = seen.get
+    ]
+    stage_parts(answered(prompts).observe(seen, *measures), raw_path)
+    raw = spark.read.schema(schema).parquet(raw_path)
+    # Counted on the way to the table, or from the table where an earlier run wrote to it too.
+    counts = seen.get if done is None else raw.agg(*measures).first().asDict()
     if counts["n"] != n_prompts:
         raise RunError(f"{n_prompts} prompts gave {counts['n']} rows, see {raw_path}")
 
@@ -136,14 +157,17 @@ def run(
     checked, checks = check_counted(
         check_records(raw).withColumn("generated_text", rejected_text), "checked"
     )
-    stage(checked, f"{folder}/records", partition_by=["is_valid"])
+    again = resume is not None
+    stage(checked, f"{folder}/records", partition_by=["is_valid"], again=again)
 
     saved, written = counted(sink_rows(result_rows(raw)), "saved")
-    write_jsonl(saved, f"{folder}/output")
+    write_jsonl(saved, f"{folder}/output", again=again)
+    if not keep_raw:
+        remove(spark, raw_path)
     found = checks.get
     return RunResult(
         folder=folder,
-        raw_path=raw_path,
+        raw_path=raw_path if keep_raw else None,
         n_prompts=n_prompts,
         n_requests=counts["n"],
         n_failed=counts["n_failed"],
@@ -166,8 +190,23 @@ def read_records(spark: SparkSession, result: RunResult) -> DataFrame:
     return spark.read.schema(T.StructType(typed)).parquet(result.records_path)
 
 
-def _save_settings(spark: SparkSession, config: RunConfig, folder: str) -> None:
+def _settings_row(config: RunConfig) -> dict[str, str | None]:
     values: dict[str, Any] = {k: v for k, v in asdict(config).items() if k != "setting_warnings"}
-    row = {k: None if v is None else str(v) for k, v in values.items()}
+    return {k: None if v is None else str(v) for k, v in values.items()}
+
+
+def _save_settings(spark: SparkSession, config: RunConfig, folder: str, raw_path: str) -> None:
+    row = _settings_row(config) | {"raw_path": raw_path}
     table = spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} string" for k in row))
     table.coalesce(1).write.mode("errorifexists").json(f"{folder}/settings")
+
+
+def _settings_of(spark: SparkSession, config: RunConfig, folder: str) -> str:
+    """The raw table of an earlier run, whose settings have to be the same."""
+    row = _settings_row(config)
+    names = ", ".join(f"{k} string" for k in [*row, "raw_path"])
+    saved = spark.read.schema(names).json(f"{folder}/settings").first()
+    other = sorted(k for k, v in row.items() if saved[k] != v)
+    if other:
+        raise RunError(f"{folder} was run with other settings: {', '.join(other)}")
+    return saved["raw_path"]

@@ -32,15 +32,22 @@ def run_name(job_id: str, moment: datetime) -> str:
 
 
 def write_jsonl(
-    rows: DataFrame, path: str, *, single_file: bool = False, compression: str | None = None
+    rows: DataFrame,
+    path: str,
+    *,
+    single_file: bool = False,
+    compression: str | None = None,
+    again: bool = False,
 ) -> None:
-    """Write rows as JSON Lines part files, by the executors; an existing path is an error.
+    """Write rows as JSON Lines part files, by the executors.
+
+    An existing path is an error unless it is written ``again``.
 
     ``single_file`` funnels everything through one task: for small results only.
     """
     if single_file:
         rows = rows.coalesce(1)
-    writer = rows.write.mode("errorifexists").options(**_WRITER)
+    writer = rows.write.mode("overwrite" if again else "errorifexists").options(**_WRITER)
     if compression:
         writer = writer.option("compression", compression)
     writer.json(path)

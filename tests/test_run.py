@@ -1,6 +1,10 @@
 import glob
 import json
 import os
+import time
+import uuid
+from collections import Counter
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -61,7 +65,7 @@ def test_run_from_a_table_with_rejected_and_failed_rows(spark, tmp_path):
     table = spark.range(10).selectExpr("id", "cast(id as string) AS t")
     config = RunConfig(output_dir=str(tmp_path / "out"))
     result = run(spark, config, Mixed, prompts=prompts_from_table(table, "t", ["id"]), on_error="record",
-                 staging_dir=str(tmp_path / "staged"))
+                 staging_dir=str(tmp_path / "staged"), keep_raw=True)
     assert (result.n_requests, result.n_failed, result.n_valid, result.n_rejected) == (10, 1, 7, 3)
     assert result.violations == {
         "json_object": 2, "too_large": 0, "required": 3, "type": 0, "enum": 0, "range": 0
@@ -114,11 +118,61 @@ def test_tasks_follow_the_number_of_prompts(spark, tmp_path):
             return [Generation(str(TaskContext.get().partitionId())) for _ in batch]
 
     config = _config(tmp_path, json.dumps([f"p{i}" for i in range(50)]))
-    result = run(spark, config, Partition, rows_per_task=10)
+    result = run(spark, config, Partition, rows_per_task=10, keep_raw=True)
     tasks = spark.read.parquet(result.raw_path).groupBy("generated_text").count().collect()
     assert len(tasks) == 5 and max(t["count"] for t in tasks) <= 12
 
 
+def _logging(log, broken=None):
+    """A backend that leaves a file per prompt that it was asked for; it fails on ``broken``."""
+
+    class Logging(TemplateBackend):
+        def generate(self, batch):
+            for request in batch:
+                prompt = request.messages[-1]["content"]
+                if prompt == broken:
+                    time.sleep(4)  # the other tasks are done by then
+                    raise RuntimeError("engine down")
+                open(os.path.join(log, f"{prompt}-{uuid.uuid4().hex}"), "w").close()
+            return super().generate(batch)
+
+    return Logging
+
+
+def _asked(folder):
+    return sorted(name.rsplit("-", 1)[0] for name in os.listdir(folder))
+
+
+def test_a_failed_run_goes_on(spark, tmp_path):
+    prompts = [f"p{i}" for i in range(37)] + ["same"] * 3
+    config = _config(tmp_path, json.dumps(prompts), batch_size=2)
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    os.mkdir(first), os.mkdir(second)
+    with pytest.raises(Exception, match="engine down"):
+        run(spark, config, _logging(first, "p20"), rows_per_task=5, moment=MOMENT)
+    [folder] = glob.glob(str(tmp_path / "out" / "*"))
+    raw = json.loads(open(glob.glob(f"{folder}/settings/part-*")[0]).read())["raw_path"]
+    staged = [r["prompt"] for r in spark.read.parquet(raw).collect()]
+    assert 20 <= len(staged) < 40 and set(staged) <= set(_asked(first))
+    result = run(spark, config, _logging(second), rows_per_task=5, resume=folder)
+    assert _asked(second) == sorted((Counter(prompts) - Counter(staged)).elements())
+    assert (result.n_requests, result.n_saved, result.n_valid) == (40, 40, 40)
+    found = [r["prompt"] for r in read_records(spark, result).collect()]
+    assert sorted(found) == sorted(prompts)
+    assert not os.path.exists(raw.removeprefix("file:"))
+    with pytest.raises(Exception, match="other settings: batch_size"):
+        run(spark, replace(config, batch_size=3), _logging(second), resume=folder)
+
+
+def test_a_finished_stage_is_not_asked_again(spark, tmp_path):
+    log = str(tmp_path / "log")
+    os.mkdir(log)
+    config = _config(tmp_path, '["a", "b"]')
+    done = run(spark, config, _logging(log), moment=MOMENT, keep_raw=True)
+    again = run(spark, config, _logging(log), resume=done.folder)
+    assert _asked(log) == ["a", "b"] and again.n_saved == 2 and again.raw_path is None
+
+
 def test_program(spark, tmp_path, monkeypatch):
     backend = "recordloom.backends.template:TemplateBackend"
     for name, text in {"good": '["a", "b"]', "none": "[]", "bad": "[1]"}.items():
