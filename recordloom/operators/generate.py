@@ -68,6 +68,14 @@ def spread(prompts: DataFrame, partitions: int | None) -> DataFrame:
     return prompts if partitions is None else prompts.repartition(partitions)
 
 
+def pending(prompts: DataFrame, done: DataFrame | None) -> DataFrame:
+    """The prompts that have no answer in ``done``, which holds all of their columns.
+
+    By rows and their number, not by id alone: equal prompts may share an id.
+    """
+    return prompts if done is None else prompts.exceptAll(done.select(*prompts.columns))
+
+
 def _to_python(column: pa.Array) -> list[Any]:
     """``column.to_pylist()`` for nested columns, several times faster.
 

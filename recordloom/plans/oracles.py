@@ -89,6 +89,31 @@ damaged AS (
   FROM raw
 )"""
 
+_PAIRS = r"\{\}|\[\]"
+# The longest prefix that is JSON once its open brackets are closed, by trying all of them.
+SALVAGED = f"""WITH {RAW.lstrip()},
+cut AS (SELECT doc_id, left(t, CAST(64 + doc_id * 97 % 1400 AS INTEGER)) AS u FROM raw),
+prefixes AS (
+  SELECT doc_id, u, n, left(u, n) AS p FROM (SELECT *, unnest(range(1, length(u) + 1)) AS n FROM cut)
+  WHERE substr(u, n, 1) IN ('"', '{{', '}}', '[', ']', 'e', 'l')
+), outside AS (
+  SELECT *, regexp_replace(p, '"(\\\\.|[^"\\\\])*"', '', 'g') AS o FROM prefixes
+), brackets AS (
+  SELECT *, regexp_replace(o, '[^][{{}}]', '', 'g') AS b FROM outside WHERE o NOT LIKE '%"%'
+), opened AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    b, '{_PAIRS}', '', 'g'), '{_PAIRS}', '', 'g'), '{_PAIRS}', '', 'g'), '{_PAIRS}', '', 'g') AS open
+  FROM brackets
+), closed AS (
+  SELECT doc_id, u, n, p || reverse(translate(open, '{{[', '}}]')) AS text, open = '' AS whole FROM opened
+), best AS (
+  SELECT doc_id, arg_max(text, n) AS text, arg_max(whole, n) AS whole, max(n) AS n
+  FROM closed WHERE json_valid(text) AND json_type(text) = 'OBJECT' GROUP BY doc_id
+)
+SELECT doc_id, sha256(text) AS digest, whole AND trim(substr(u, n + 1)) = '' AS complete,
+       (length(u) - n)::INTEGER AS n_dropped
+FROM cut LEFT JOIN best USING (doc_id)"""
+
 _IS_OBJECT = "coalesce(CASE WHEN json_valid(t) THEN json_type(t) = 'OBJECT' END, false)"
 JUDGED = f"""{DAMAGED},
 judged AS (SELECT doc_id, t, {_IS_OBJECT} AS ok FROM damaged),
@@ -189,6 +214,10 @@ ORACLES: dict[str, str] = {
         "text AS prompt FROM documents"
     ),
     "prompt_count": "SELECT count(*) AS n FROM documents",
+    "resumed_generation": """
+        SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS attempt, sha256(text) AS digest
+        FROM documents""",
+    "salvaged_records": SALVAGED,
     "prompt_list_files": "SELECT doc_id, text AS prompt FROM documents WHERE text IS NOT NULL",
     "prompt_list_rows": f"""
 SELECT doc_id, CAST(nr - 1 AS BIGINT) AS pos, line AS prompt

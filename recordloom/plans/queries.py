@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from recordloom.backends.template import EchoBackend, template_record
 from recordloom.functions import json_text
 from recordloom.functions.chat import chat_messages, sampling_params
+from recordloom.functions.salvage import salvaged
 from recordloom.operators import check, lists, measure
-from recordloom.operators.generate import build_requests, generate
+from recordloom.operators.generate import build_requests, generate, pending
 from recordloom.operators.once import once
 from recordloom.schema import json_schema_text
 from recordloom.sinks.jsonl import SINK_COLUMN, read_jsonl, result_rows, sink_rows, write_jsonl
-from recordloom.sinks.staging import scratch_path, stage
+from recordloom.sinks.staging import scratch_path, stage, stage_parts, staged_parts
 from recordloom.sources.prompt_lists import PromptLists, write_prompt_lists
 from recordloom.sources.prompts import (
     check_prompt_files,
@@ -290,6 +291,35 @@ def throughput(spark: SparkSession, folder: str) -> DataFrame:
     return measure.throughput(done).drop("tokens_per_second")
 
 
+def resumed_generation(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that stopped when a third of the prompts was answered, gone on with to the end."""
+    path = scratch_path(spark, "resumed")
+    prompts = documents(spark, folder)
+
+    def answered(asked: DataFrame, attempt: int) -> DataFrame:
+        requests = build_requests(asked, schema_text=json_schema_text(), max_tokens=None)
+        done = generate(requests, EchoBackend, batch_size=BATCH)
+        return done.withColumn("attempt", F.lit(attempt))
+
+    stage_parts(answered(prompts.where("doc_id % 3 = 0"), 1), path)
+    schema = answered(prompts, 2).schema
+    rest = pending(prompts, staged_parts(spark, path, schema))
+    stage_parts(answered(rest, 2), path)
+    return staged_parts(spark, path, schema).select(
+        "doc_id", "attempt", F.sha2("generated_text", 256).alias("digest")
+    )
+
+
+def salvaged_records(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of record texts that end at all kinds of places."""
+    end = (F.lit(64) + F.col("doc_id") * 97 % 1400).cast("int")
+    cut = raw(spark, folder).select("doc_id", F.left("generated_text", end).alias("text"))
+    found = once(cut, "s", salvaged("text"))
+    return found.select(
+        "doc_id", F.sha2("s.text", 256).alias("digest"), "s.complete", "s.n_dropped"
+    )
+
+
 def category_difficulty(spark: SparkSession, folder: str) -> DataFrame:
     """From prompts through the model step and the check to a count of valid records."""
     valid, _ = check.split_records(check.check_records(_generated(spark, folder)))
@@ -537,6 +567,8 @@ QUERIES: dict[str, Query] = {
     "generation_errors": generation_errors,
     "generation_totals": generation_totals,
     "throughput": throughput,
+    "resumed_generation": resumed_generation,
+    "salvaged_records": salvaged_records,
     "category_difficulty": category_difficulty,
     "staged_split": staged_split,
     "postprocess_rows": postprocess_rows,

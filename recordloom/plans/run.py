@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from recordloom.backends.base import BackendFactory
 from recordloom.functions.chat import DEFAULT_SYSTEM_TEXT
 from recordloom.operators.check import check_records
-from recordloom.operators.generate import build_requests, generate, spread
+from recordloom.operators.generate import build_requests, generate, pending, spread
 from recordloom.operators.measure import RULES, check_counted, counted
 from recordloom.schema import json_schema_text
 from recordloom.settings import RunConfig
@@ -136,16 +136,13 @@ def run(
 
     schema = answered(prompts).schema
     done = staged_parts(spark, raw_path, schema)
-    if done is not None:
-        # By rows and their number, not by id alone: equal prompts may share an id.
-        prompts = prompts.exceptAll(done.select(*prompts.columns))
     seen = Observation("generated")
     measures = [
         F.count(F.lit(1)).alias("n"),
         F.count("generation_error").alias("n_failed"),
         F.coalesce(F.sum("n_output_tokens"), F.lit(0)).alias("n_output_tokens"),
     ]
-    stage_parts(answered(prompts).observe(seen, *measures), raw_path)
+    stage_parts(answered(pending(prompts, done)).observe(seen, *measures), raw_path)
     raw = spark.read.schema(schema).parquet(raw_path)
     # Counted on the way to the table, or from the table where an earlier run wrote to it too.
     counts = seen.get if done is None else raw.agg(*measures).first().asDict()
