@@ -9,13 +9,13 @@ virtual rehashing (radius times ``GROWTH``, only the new rings are counted) unti
 best verified vector lies within the radius.  A vector within the radius collides in an
 array with probability 0.826, so it misses the threshold with probability below 0.001.
 
-Vectors are dealt to blocks of at most about ``BLOCK`` by a hash of the id and queries to
+Vectors are dealt to blocks of at most about ``BLOCK`` by a hash of a row number and queries to
 blocks of about ``QUERY_BLOCK``; each pair of blocks is one group of bounded size, and the
 best k of every block are merged.  All rows are indexed and none is skipped or capped.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite numbers, and
-rows without id, take no part; of rows with the same id the smallest vector stands for
-all; vectors of different lengths are not compared; ties go to the smaller id; an empty
+rows without id, take no part; rows that are repeated in full count once, and rows of one id with
+different vectors are rows of their own, as candidates and as queries; vectors of different lengths are not compared; ties go to the smaller id; an empty
 table gives an empty result.
 """
 
@@ -53,9 +53,10 @@ def _scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def block_search(
-    ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
+    rows: np.ndarray, ids: np.ndarray, data: np.ndarray, query_rows: np.ndarray,
+    queries: np.ndarray, k: int,
 ) -> list[tuple[int, int, float]]:
-    """The k nearest of one block for each query: query id, id, cosine."""
+    """The k nearest of one block for each query but its own row: query row, id, cosine."""
     dim, n = data.shape[1], len(ids)
     data, length = _scaled(data)
     queries, query_length = _scaled(queries)
@@ -65,9 +66,9 @@ def block_search(
     arrays = np.sort(placed, axis=0).T.copy()
     centres = (queries / query_length[:, None]) @ directions
     out = []
-    for q in range(len(query_ids)):
+    for q in range(len(query_rows)):
         counts = np.zeros(n, dtype=np.int64)
-        counts[ids == query_ids[q]] = -PROJECTIONS - 1  # never a candidate
+        counts[rows == query_rows[q]] = -PROJECTIONS - 1  # never a candidate
         verified = counts < 0
         wanted = min(k, n - int(verified.sum()))
         best_ids, best = np.empty(0, np.int64), np.empty(0)
@@ -101,7 +102,7 @@ def block_search(
             if radius > 2 and verified.all():
                 break
             radius *= GROWTH
-        out.extend((int(query_ids[q]), int(i), float(s)) for i, s in zip(best_ids, best))
+        out.extend((int(query_rows[q]), int(i), float(s)) for i, s in zip(best_ids, best))
     return out
 
 
@@ -109,14 +110,16 @@ def _search(k: int):
     def group(table: pa.Table) -> pa.Table:
         vectors = table.column("v").combine_chunks()
         x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(table), -1)
-        ids = table.column("id").to_numpy()
+        ids, rows = table.column("id").to_numpy(), table.column("row").to_numpy()
         asked = table.column("query").to_numpy().astype(bool)
         found = []
         if asked.any() and not asked.all():
-            found = block_search(ids[~asked], x[~asked], ids[asked], x[asked], k)
+            found = block_search(rows[~asked], ids[~asked], x[~asked], rows[asked], x[asked], k)
+        named = dict(zip(rows[asked].tolist(), ids[asked].tolist()))
         return pa.table(
             {
-                "query_id": pa.array([f[0] for f in found], pa.int64()),
+                "query": pa.array([f[0] for f in found], pa.int64()),
+                "query_id": pa.array([named[f[0]] for f in found], pa.int64()),
                 "vec_id": pa.array([f[1] for f in found], pa.int64()),
                 "score": pa.array([f[2] for f in found], pa.float64()),
             }
@@ -139,24 +142,26 @@ def nearest(
         F.col(vector_col).cast("array<double>").alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("query"),
     )
-    rows = keep(rows.groupBy("id").agg(F.min("v").alias("v"), F.max("query").alias("query")))
+    # Rows that are repeated in full count once; rows that share an id are rows of their own.
+    rows = keep(rows.groupBy("id", "v").agg(F.max("query").alias("query")))
+    rows = keep(rows.select(F.monotonically_increasing_id().alias("row"), "id", "v", "query"))
     n, n_queries = rows.agg(F.count("*"), F.count_if("query")).first()
     blocks = max(LEAST_BLOCKS, -(-n // BLOCK))
     query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    h = F.xxhash64(F.lit(SEED), F.col("id"))
+    h = F.xxhash64(F.lit(SEED), F.col("row"))
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     size = F.size("v").alias("dim")
     data = rows.select(
-        "id", "v", F.lit(False).alias("query"), size,
+        "row", "id", "v", F.lit(False).alias("query"), size,
         F.pmod(h, F.lit(blocks)).cast("int").alias("block"),
         every(query_blocks).alias("query_block"),
     )
     asked = rows.where("query").select(
-        "id", "v", "query", size, every(blocks).alias("block"),
+        "row", "id", "v", "query", size, every(blocks).alias("block"),
         F.pmod(h, F.lit(query_blocks)).cast("int").alias("query_block"),
     )
     pairs = data.unionByName(asked).groupBy("dim", "block", "query_block")
-    found = pairs.applyInArrow(_search(k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = pairs.applyInArrow(_search(k), "query long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
