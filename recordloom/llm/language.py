@@ -6,7 +6,7 @@ family is chosen by one-versus-rest linear support vector machines; inside a fam
 pair of languages has a linear support vector machine of its own and the most votes win.
 
 The classifier learns from a sample of at most about ``SAMPLE`` labelled documents per
-language, chosen by a hash of the id, so the driver holds ``languages * SAMPLE * DIM``
+language, chosen by a hash of id and text, so the driver holds ``languages * SAMPLE * DIM``
 numbers.  Sampled texts are turned into features on the executors; prediction is a narrow
 map over all documents, with the model (a few hundred kB) in its closure.
 
@@ -174,7 +174,7 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def train(
     df: DataFrame, lang_col: str, text_col: str, id_col: str, sample: int = SAMPLE
 ) -> Model | None:
-    """Learn from about ``sample`` documents per language of ``df``, chosen by a hash."""
+    """Learn from about ``sample`` documents per language of ``df``, chosen by a hash of id and text."""
     ship_package(df.sparkSession)
     usable = df.where(
         F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
@@ -183,7 +183,7 @@ def train(
     share = F.lit(0.0)
     for lang, n in counts:
         share = F.when(F.col(lang_col) == lang, F.lit(min(1.0, sample / n))).otherwise(share)
-    h = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 20)) / F.lit(1 << 20)
+    h = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col), F.col(text_col)), F.lit(1 << 20)) / F.lit(1 << 20)
     chosen = usable.where(h < share).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
