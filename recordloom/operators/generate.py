@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections import deque
 from collections.abc import Iterator
 from typing import Any
 
@@ -125,29 +126,52 @@ class _Task:
         return _built[self.step]
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield self._answer_rows(self._backend(), batch)
-
-    def _answer_rows(self, backend: Backend, rows: pa.RecordBatch) -> pa.RecordBatch:
-        """One Arrow batch (bounded in rows and bytes by the session) in, one out."""
-        answers: list[Generation] = []
-        shares: list[float] = []
-        columns = [_to_python(rows.column(name)) for name in REQUEST_COLUMNS]
-        requests = [Request(messages, sampling) for messages, sampling in zip(*columns)]
+        """Arrow batches (bounded in rows and bytes by the session) in, the same ones out.
+
+        Model batches go on over the borders of Arrow batches, so all but the last of a task
+        are full.  What waits for answers are fewer requests than a model batch holds, and the
+        Arrow batches that they came in.
+        """
+        held: deque[pa.RecordBatch] = deque()
+        waiting: list[Request] = []
+        answers: deque[tuple[Generation, float]] = deque()
+        for rows in batches:
+            held.append(rows)
+            columns = [_to_python(rows.column(name)) for name in REQUEST_COLUMNS]
+            waiting += [Request(messages, sampling) for messages, sampling in zip(*columns)]
+            full = len(waiting) - len(waiting) % self.batch_size
+            answers += self._answers(waiting[:full])
+            del waiting[:full]
+            while held and len(answers) >= held[0].num_rows:
+                yield self._with_answers(held.popleft(), answers)
+        answers += self._answers(waiting)
+        while held:
+            yield self._with_answers(held.popleft(), answers)
+
+    def _answers(self, requests: list[Request]) -> list[tuple[Generation, float]]:
+        """Answers with their share of the time of their batch."""
+        out: list[tuple[Generation, float]] = []
         for start in range(0, len(requests), self.batch_size):
+            backend = self._backend()
             started = time.perf_counter()
             answered = self._call(backend, requests[start : start + self.batch_size])
-            spent = (time.perf_counter() - started) * 1000.0
-            answers += answered
-            shares += [spent / len(answered)] * len(answered)
+            share = (time.perf_counter() - started) * 1000.0 / len(answered)
+            out += [(answer, share) for answer in answered]
+        return out
+
+    def _with_answers(
+        self, rows: pa.RecordBatch, answers: deque[tuple[Generation, float]]
+    ) -> pa.RecordBatch:
+        """The rows with the first of the answers."""
+        own = [answers.popleft() for _ in range(rows.num_rows)]
         if self.drop_requests:
             rows = rows.drop_columns(list(REQUEST_COLUMNS))
         added = [
-            pa.array([a.text for a in answers], pa.string()),
-            pa.array([a.finish_reason for a in answers], pa.string()),
-            pa.array([a.n_output_tokens for a in answers], pa.int32()),
-            pa.array(shares, pa.float64()),
-            pa.array([a.error for a in answers], pa.string()),
+            pa.array([a.text for a, _ in own], pa.string()),
+            pa.array([a.finish_reason for a, _ in own], pa.string()),
+            pa.array([a.n_output_tokens for a, _ in own], pa.int32()),
+            pa.array([share for _, share in own], pa.float64()),
+            pa.array([a.error for a, _ in own], pa.string()),
         ]
         return pa.RecordBatch.from_arrays(
             rows.columns + added, names=rows.schema.names + [f.name for f in GENERATED_FIELDS]
@@ -161,8 +185,10 @@ class _Task:
                 raise
             if len(requests) == 1:
                 return [Generation(None, error=f"{type(problem).__name__}: {problem}")]
-            # Only the requests that fail on their own shall carry the error.
-            return [self._call(backend, [request])[0] for request in requests]
+            # Only the requests that fail on their own shall carry the error.  Halving finds k of
+            # n in about 2 k log2(n / k) calls.
+            half = len(requests) // 2
+            return self._call(backend, requests[:half]) + self._call(backend, requests[half:])
         if len(answers) != len(requests):
             raise GenerationFailed(
                 f"backend answered {len(answers)} of {len(requests)} requests"

@@ -244,10 +244,10 @@ FROM s""",
     "chat_messages": f"""
 SELECT doc_id, {_MESSAGES} FROM documents""",
     "sampling_params_greedy": """
-WITH d AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN CAST(0 AS DOUBLE)
+WITH d AS (SELECT doc_id, sha256(text) AS digest, CASE doc_id % 3 WHEN 0 THEN CAST(0 AS DOUBLE)
                                           WHEN 1 THEN CAST(0.7 AS DOUBLE) END AS temperature
            FROM documents)
-SELECT doc_id, temperature,
+SELECT doc_id, digest, temperature,
   CASE WHEN temperature = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END AS top_p,
   CAST(CASE WHEN temperature = 0 THEN -1 ELSE 5 END AS INTEGER) AS top_k,
   CAST(1024 AS INTEGER) AS max_tokens, false AS detokenize

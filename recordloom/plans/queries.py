@@ -17,7 +17,7 @@ from recordloom.functions import json_text
 from recordloom.functions.chat import chat_messages, sampling_params
 from recordloom.functions.salvage import salvaged
 from recordloom.operators import check, lists, measure
-from recordloom.operators.generate import build_requests, generate, pending
+from recordloom.operators.generate import build_requests, generate, pending, spread
 from recordloom.operators.once import once
 from recordloom.schema import json_schema_text
 from recordloom.sinks.jsonl import SINK_COLUMN, read_jsonl, result_rows, sink_rows, write_jsonl
@@ -46,8 +46,15 @@ SCHEMAS = {
 }
 
 
+# Session setting: tasks over which the tables' rows are dealt, for tables that are a single row
+# group and would be read and worked on by one task.  Unset, a table keeps its own splits.
+PARTITIONS_SETTING = "spark.recordloom.partitions"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    partitions = spark.conf.get(PARTITIONS_SETTING, None)
+    return spread(rows, int(partitions) if partitions else None)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,8 +213,9 @@ def chat_message_rows(spark: SparkSession, folder: str) -> DataFrame:
 def sampling_params_greedy(spark: SparkSession, folder: str) -> DataFrame:
     warmth = F.when(F.col("doc_id") % 3 == 0, 0.0).when(F.col("doc_id") % 3 == 1, 0.7)
     params = sampling_params(warmth, max_tokens=1024, top_p=0.9, top_k=5)
-    return documents(spark, folder).select("doc_id", params.alias("p")).select(
-        "doc_id", "p.temperature", "p.top_p", "p.top_k", "p.max_tokens", "p.detokenize"
+    rows = documents(spark, folder).select("doc_id", "prompt", params.alias("p"))
+    return rows.select(
+        "doc_id", F.sha2("prompt", 256).alias("digest"), "p.temperature", "p.top_p", "p.top_k", "p.max_tokens", "p.detokenize"
     )
 
 

@@ -1,3 +1,6 @@
+import os
+import uuid
+
 import pyarrow as pa
 import pytest
 from pyspark import TaskContext
@@ -95,6 +98,41 @@ def test_failure_stops_or_is_recorded(spark, as_row):
     assert all(r["generated_text"] == "x" for r in kept if r["id"] != 13)
 
 
+def _noting(folder, bad=()):
+    """A backend that notes the size of every batch in a file name and fails on ``bad`` prompts."""
+
+    class Sizes(TemplateBackend):
+        def generate(self, batch):
+            open(os.path.join(folder, f"{len(batch)}-{uuid.uuid4().hex}"), "w").close()
+            if any(r.messages[-1]["content"] in bad for r in batch):
+                raise RuntimeError("boom")
+            return [Generation(r.messages[-1]["content"]) for r in batch]
+
+    return Sizes
+
+
+def test_batches_are_full_whatever_the_arrow_limit(spark, tmp_path):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        requests = build_requests(_prompts(spark, 100, 1))
+        rows = generate(requests, _noting(str(tmp_path)), batch_size=16).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r["id"] for r in rows] == list(range(100))
+    assert all(r["generated_text"] == r["prompt"] for r in rows)
+    sizes = sorted(int(n.split("-")[0]) for n in os.listdir(tmp_path))
+    assert sizes == [4] + [16] * 6
+
+
+def test_bad_requests_are_found_by_halving(spark, tmp_path):
+    requests = build_requests(_prompts(spark, 64, 1))
+    backend = _noting(str(tmp_path), bad=("prompt 13", "prompt 40"))
+    rows = generate(requests, backend, batch_size=64, on_error="record").collect()
+    assert sorted(r["id"] for r in rows if r["generation_error"]) == [13, 40]
+    assert all(r["generated_text"] == r["prompt"] for r in rows if not r["generation_error"])
+    assert len(os.listdir(tmp_path)) <= 2 * 2 * 6 + 1
+
+
 def test_short_answer_is_an_error_even_when_recording(spark):
     class Short(TemplateBackend):
         def generate(self, batch):
