@@ -218,6 +218,17 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS attempt, sha256(text) AS digest
         FROM documents""",
     "salvaged_records": SALVAGED,
+    "record_nodes": """
+        WITH docs AS (
+          SELECT doc_id, to_json({'even': doc_id % 2 = 0, 'source': source, 'size': n_chars,
+            'parts': list_transform(string_split(text, chr(10)), lambda x: {'sentences':
+              CASE WHEN x = '' THEN [] ELSE string_split(x, '. ') END})}) AS j
+          FROM documents
+        )
+        SELECT doc_id, fullkey AS path, CASE type WHEN 'VARCHAR' THEN 'string'
+          WHEN 'UBIGINT' THEN 'number' WHEN 'BIGINT' THEN 'number' ELSE lower(type) END AS kind,
+          CASE WHEN type NOT IN ('OBJECT', 'ARRAY') THEN atom ->> '$' END AS text
+        FROM docs, json_tree(j)""",
     "prompt_list_files": "SELECT doc_id, text AS prompt FROM documents WHERE text IS NOT NULL",
     "prompt_list_rows": f"""
 SELECT doc_id, CAST(nr - 1 AS BIGINT) AS pos, line AS prompt

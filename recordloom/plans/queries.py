@@ -19,6 +19,7 @@ from recordloom.functions.salvage import salvaged
 from recordloom.operators import check, lists, measure
 from recordloom.operators.generate import build_requests, generate, pending, spread
 from recordloom.operators.once import once
+from recordloom.operators.tree import nodes
 from recordloom.schema import json_schema_text
 from recordloom.sinks.jsonl import SINK_COLUMN, read_jsonl, result_rows, sink_rows, write_jsonl
 from recordloom.sinks.staging import scratch_path, stage, stage_parts, staged_parts
@@ -540,6 +541,24 @@ def next_step_choices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def record_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as lists of lines, each a list of sentences, taken apart into nodes."""
+    line = F.transform(
+        F.split("text", "\n"),
+        lambda x: F.struct(
+            F.when(x == "", F.array().cast("array<string>"))
+            .otherwise(F.split(x, "[.] ", -1)).alias("sentences"),
+        ),
+    )
+    whole = F.struct(
+        (F.col("doc_id") % 2 == 0).alias("even"), "source", F.col("n_chars").alias("size"),
+        line.alias("parts"),
+    )
+    text = F.to_json(whole, {"ignoreNullFields": "false"})
+    rows = table(spark, folder, "documents").select("doc_id", F.try_parse_json(text).alias("v"))
+    return nodes(rows, "v", "doc_id").select("doc_id", "path", "kind", "text")
+
+
 def extended_violations(spark: SparkSession, folder: str) -> DataFrame:
     """Whole records with lists of records in them, each item judged where it stands."""
     found = check.find_violations(_step_lists(spark, folder), extended=True)
@@ -598,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "fix_steps": fix_steps,
     "fix_step_violations": fix_step_violations,
     "next_step_choices": next_step_choices,
+    "record_nodes": record_nodes,
     "extended_violations": extended_violations,
     "extended_record_gaps": extended_record_gaps,
 }
