@@ -328,6 +328,11 @@ SELECT count(*) AS n, count(*) AS n_with_key, count(*) FILTER (WHERE t IS NULL)
 FROM damaged""",
     "json_object_check": f"WITH {JUDGED} SELECT doc_id, ok FROM judged",
     "violations": f"WITH {VIOLATIONS} SELECT doc_id, path, rule FROM violations",
+    "schema_table_violations": f"""
+        WITH {VIOLATIONS} SELECT doc_id, path, rule FROM violations
+        WHERE rule <> 'json_object' AND (doc_id % 3 = 0
+          OR doc_id % 3 = 1 AND starts_with(path, '$.user_problem_post')
+          OR doc_id % 3 = 2 AND starts_with(path, '$.expert_solution_reply'))""",
     "required_fields": f"WITH {VIOLATIONS} SELECT doc_id, path FROM violations WHERE rule = 'required'",
     "type_mismatches": f"WITH {VIOLATIONS} SELECT doc_id, path FROM violations WHERE rule = 'type'",
     "enum_mismatches": f"""

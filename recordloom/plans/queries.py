@@ -7,6 +7,7 @@ over the scan.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +20,9 @@ from recordloom.functions.salvage import salvaged
 from recordloom.operators import check, lists, measure
 from recordloom.operators.generate import build_requests, generate, pending, spread
 from recordloom.operators.once import once
+from recordloom.operators.schema_rules import rule_table, schema_violations
 from recordloom.operators.tree import nodes
-from recordloom.schema import json_schema_text
+from recordloom.schema import json_schema, json_schema_text, schema_id
 from recordloom.sinks.jsonl import SINK_COLUMN, read_jsonl, result_rows, sink_rows, write_jsonl
 from recordloom.sinks.staging import scratch_path, stage, stage_parts, staged_parts
 from recordloom.sources.prompt_lists import PromptLists, write_prompt_lists
@@ -541,6 +543,28 @@ def next_step_choices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _part_schema(field: str) -> str:
+    """A schema that asks for one part of the record only."""
+    whole = json_schema()
+    kept = {"properties": {field: whole["properties"][field]}, "required": [field]}
+    return json.dumps({**whole, **kept})
+
+
+def schema_table_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged records of three schemas in one table, checked by a join with the rules as rows."""
+    texts = [
+        json_schema_text(), _part_schema("user_problem_post"), _part_schema("expert_solution_reply"),
+    ]
+    which = F.array(*[F.lit(schema_id(t)) for t in texts])
+    parsed = check.parse_text(damaged(spark, folder)).where(check.is_one_object())
+    rows = parsed.select(
+        "doc_id", F.get(which, (F.col("doc_id") % 3).cast("int")).alias("schema_id"),
+        F.try_variant_get(check.DOCUMENT, check.RECORD, "variant").alias("v"),
+    )
+    found = nodes(rows, "v", "doc_id", "schema_id")
+    return schema_violations(found, rule_table(spark, *texts), "doc_id")
+
+
 def record_nodes(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as lists of lines, each a list of sentences, taken apart into nodes."""
     line = F.transform(
@@ -617,6 +641,7 @@ QUERIES: dict[str, Query] = {
     "fix_steps": fix_steps,
     "fix_step_violations": fix_step_violations,
     "next_step_choices": next_step_choices,
+    "schema_table_violations": schema_table_violations,
     "record_nodes": record_nodes,
     "extended_violations": extended_violations,
     "extended_record_gaps": extended_record_gaps,
