@@ -16,14 +16,15 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return the table read back.
 
-    It cuts lineage: a lost executor costs later steps a re-read of the table.
+    It cuts lineage: a lost executor costs later steps a re-read of the table.  ``options`` go
+    to the writer.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm")
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.kept_path = path
     return table

@@ -1,128 +1,268 @@
 """Language-model scoring by cross-entropy difference.
 
-Two bigram models of the same form share one vocabulary: the ``VOCABULARY`` most frequent
-words of the whole corpus (ties in code point order), all other words being one unknown
-word, and a mark for the start of a text.  The target model is counted on the target
-documents, the background model on all documents.  Both mix the bigram estimate with an
-add-one unigram estimate; after a word that a model has not seen the unigram counts alone.
-A document's score is its mean loss per word under the target minus that under the
-background model (natural logarithms); lower means closer to the target.
-
-Counts cover every word of every document.  Words are counted within tasks and then by
-key; the driver gets the vocabulary and the bigram counts, of which there are at most
-(VOCABULARY + 2) squared, about a million, whatever the corpus size.  Texts are encoded
-once, two bytes a word, and that table is staged; later steps read it.
+Two bigram models of the same form share one vocabulary, every word of the corpus, and a mark
+for the start of a text.  The target model is counted on the target documents, the background
+model on all documents.  Both mix the bigram estimate with an add-one unigram estimate over the
+vocabulary; after a word that a model has not seen the unigram counts alone.  A document's score
+is its mean loss per word under the target minus that under the background model (natural
+logarithms); lower means closer to the target.
+
+Counts cover every word of every document and grow with the corpus; none come to the driver.
+Texts are dealt into chunks of ``CHUNK`` words (longer texts over several) and encoded by a
+list of the chunk's words, one staged row per chunk.  A chunk counts its bigrams, words and
+preceding words once, under 64-bit keys, and sends them as packed arrays to key ranges of about
+``RANGE`` counts; a key comes at most once from a chunk, so no hot word fills a range.  A range
+adds up its keys and answers only chunks that share a key with another one: all other counts of
+a chunk are the whole corpus's already.  Chunks and answers meet by chunk, where losses are
+summed per text.
 
 Defined results: null or empty text has 0 words and null losses and score; words are
 folded to lower case for A-Z only; a target without documents gives the uniform model;
-repeated rows are counted and scored as rows of their own; an empty table gives an empty
-result.
+repeated rows are counted and scored as rows of their own; rows with a null id are never
+targets; ids may have any type, and only the id and the columns named here come out; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from recordloom.llm.common import keep
 from recordloom.shipping import ship_package
 
-VOCABULARY = 1_022
 BIGRAM_WEIGHT = 0.7
-_FLUSH = 400_000
+CHUNK = 1 << 19
+RANGE = 1 << 22
+# What a key counts; the last two bits of the key.
+_BIGRAM, _WORD, _BEFORE = 0, 1, 2
+_START = b""
+_COUNTS = "bucket long, chunk long, keys binary, n binary, n_target binary"
 
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
-
-    def out() -> pa.RecordBatch:
-        names, numbers = list(counts.keys()), list(counts.values())
-        counts.clear()
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest one needs."""
+    kind = np.min_scalar_type(int(values.max()) if len(values) else 0)
+    return values.astype(kind.newbyteorder("<")).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+
+
+class _Chunk:
+    """Texts, or parts of them, of ``size`` words at most."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.index: dict[bytes, int] = {}
+        self.ids, self.rows, self.aimed, self.lengths, self.coded = [], [], [], [], []
+        self.filled = 0
+
+    def add(self, id_: object, row: int | None, aimed: bool, before: bytes, part: list[bytes]) -> int:
+        """Add a part of a text, which follows the word ``before``; the row's number."""
+        index = self.index
+        numbers = [index.setdefault(w, len(index)) for w in (before, *part)]
+        row = (self.number << 20) + len(self.rows) if row is None else row
+        self.ids.append(id_)
+        self.rows.append(row)
+        self.aimed.append(aimed)
+        self.lengths.append(len(part))
+        self.coded.append(np.array(numbers, dtype="<u4"))
+        # A text without words counts too, so that the number of texts is bounded.
+        self.filled += max(1, len(part))
+        return row
+
+    def batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.index], dtype="<u8")
+        values = [
+            self.number, self.ids, self.rows, self.aimed, self.lengths,
+            np.concatenate(self.coded).tobytes(), hashes.tobytes(),
+        ]
         return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array(numbers, pa.int64())], names=["word", "n"]
+            [pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema
         )
 
-    for batch in batches:
-        for text in batch.column(0):
-            counts.update(words(text.as_py()))
-            if len(counts) > _FLUSH:
-                yield out()
-    yield out()
-
-
-def vocabulary(texts: DataFrame, size: int) -> list[bytes]:
-    """The most frequent words of all texts."""
-    partial = texts.mapInArrow(_count_words, "word binary, n long")
-    counted = partial.groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.col("n").desc(), "word").limit(size)
-    return [bytes(r["word"]) for r in top.collect()]
-
 
-def _encoder(known: list[bytes]):
-    """Text to word numbers, two bytes each: the vocabulary, then the unknown word."""
-    numbers = {w: i for i, w in enumerate(known)}
-    unknown = len(known)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = numbers.get
+def _chunker(schema: pa.Schema, size: int):
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 20
+        chunk = _Chunk(base)
         for batch in batches:
-            coded = [
-                np.array([get(w, unknown) for w in words(t.as_py())], dtype="<u2").tobytes()
-                for t in batch.column(1)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(coded, pa.binary())], names=["id", "coded"]
-            )
-
-    return encode
-
+            for id_, text, aimed in zip(*(column.to_pylist() for column in batch.columns)):
+                left, before, row = words(text), _START, None
+                while True:
+                    part = left[: size - chunk.filled]
+                    row = chunk.add(id_, row, aimed, before, part)
+                    left = left[len(part) :]
+                    if chunk.filled >= size:
+                        yield chunk.batch(schema)
+                        chunk = _Chunk(chunk.number + 1)
+                    if not left:
+                        break
+                    before = part[-1]
+        if chunk.rows:
+            yield chunk.batch(schema)
+
+    return deal
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit key of two hashes; the constants are those of the splitmix64 generator."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _typed(hashes: np.ndarray, kind: int) -> np.ndarray:
+    return (_mixed(hashes, np.full(len(hashes), kind, np.uint64)) & ~np.uint64(3)) | np.uint64(kind)
+
+
+class _Counts:
+    """The bigrams of a chunk: which one stands where, their keys and their counts."""
+
+    def __init__(self, row: dict):
+        lengths = np.array(row["lengths"], dtype=np.int64)
+        coded = np.frombuffer(row["coded"], "<u4").astype(np.int64)
+        hashes = np.frombuffer(row["words"], "<u8")
+        width = len(hashes)
+        ends = np.cumsum(lengths + 1)
+        inner = np.ones(len(coded), dtype=bool)
+        inner[ends - lengths - 1] = False
+        now = np.flatnonzero(inner)
+        self.lengths = lengths
+        cells, self.at = np.unique(coded[now - 1] * width + coded[now], return_inverse=True)
+        self.before, self.word = cells // width, cells % width
+        aimed = np.repeat(np.array(row["aimed"], dtype=bool), lengths)
+        counts = [np.bincount(self.at, minlength=len(cells)),
+                  np.bincount(self.at[aimed], minlength=len(cells))]
+        # Bigrams, then words, then preceding words.
+        self.n, self.n_target = (
+            np.concatenate([c, *(np.bincount(x, c, width).astype(np.int64) for x in (self.word, self.before))])
+            for c in counts
+        )
+        self.keys = np.concatenate([
+            _typed(_mixed(hashes[self.before], hashes[self.word]), _BIGRAM),
+            _typed(hashes, _WORD), _typed(hashes, _BEFORE),
+        ])
+        self.width = width
+
+    def losses(self, n: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
+        """Minus log probability of each bigram."""
+        k = len(self.word)
+        single = (n[k : k + self.width][self.word] + 1) / (total + vocabulary)
+        follows = n[k + self.width :][self.before]
+        weight = np.where(follows > 0, BIGRAM_WEIGHT, 0.0)
+        return -np.log(weight * n[:k] / np.maximum(follows, 1) + (1 - weight) * single)
+
+    def sums(self, losses: np.ndarray) -> np.ndarray:
+        """Losses added up over each text's words."""
+        owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        return np.bincount(owner, losses[self.at], len(self.lengths))
+
+
+def _rows(data: pa.Table | pa.RecordBatch) -> Iterator[dict]:
+    for i in range(data.num_rows):
+        yield data.slice(i, 1).to_pylist()[0]
+
+
+def _slices(keys: np.ndarray, borders: np.ndarray) -> list[tuple[int, int]]:
+    cuts = [0, *borders.tolist(), len(keys)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
+def _counts_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)],
+        names=["bucket", "chunk", "keys", "n", "n_target"],
+    )
 
-def _cells(coded: bytes, width: int) -> np.ndarray:
-    """Bigram numbers of a text; the first word follows the start mark, the last number."""
-    now = np.frombuffer(coded, "<u2").astype(np.int64)
-    before = np.empty_like(now)
-    if len(now):
-        before[0] = width - 1
-        before[1:] = now[:-1]
-    return before * width + now
 
+def _counter(buckets: int):
+    """Counts of every chunk, cut by ranges of their keys."""
 
-def _bigram_counter(width: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, width * width), dtype=np.int64)
         for batch in batches:
-            for coded, aimed in zip(batch.column(0), batch.column(1)):
-                cells, n = np.unique(_cells(coded.as_py(), width), return_counts=True)
-                totals[0, cells] += n
-                if aimed.as_py():
-                    totals[1, cells] += n
-        seen = np.flatnonzero(totals[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(totals[0, seen]), pa.array(totals[1, seen])],
-            names=["cell", "n", "n_target"],
-        )
+            for row in _rows(batch):
+                counts = _Counts(row)
+                # Words that stand only before or only after a part count there alone.
+                there = np.flatnonzero(counts.n)
+                there = there[np.argsort(counts.keys[there], kind="stable")]
+                keys, n, aimed = counts.keys[there], counts.n[there], counts.n_target[there]
+                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                borders = np.flatnonzero(np.diff(bucket)) + 1
+                yield _counts_batch([
+                    (int(bucket[a]), row["chunk"], keys[a:b].astype("<u8").tobytes(),
+                     _packed(n[a:b]), _packed(aimed[a:b]))
+                    for a, b in _slices(keys, borders)
+                ])
 
     return count
 
 
-def losses(counts: np.ndarray, width: int) -> np.ndarray:
-    """Minus log probability of every bigram cell."""
-    table = counts.reshape(width, width).astype(np.float64)
-    follows = table.sum(axis=1, keepdims=True)
-    single = (table.sum(axis=0) + 1) / (table.sum() + width - 1)
-    bigram = np.divide(table, follows, out=np.zeros_like(table), where=follows > 0)
-    weight = np.where(follows > 0, BIGRAM_WEIGHT, 0.0)
-    mixed = weight * bigram + (1 - weight) * single
-    return -np.log(mixed).ravel()
+def _add_up(table: pa.Table) -> pa.Table:
+    """Whole counts of one range's keys, for chunks that share a key; different words (chunk -1)."""
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("chunk", "keys", "n", "n_target"))))
+    arrays = [np.frombuffer(k, "<u8") for _, k, _, _ in rows]
+    keys = np.concatenate(arrays)
+    n = np.concatenate([_unpacked(r[2], len(a)) for r, a in zip(rows, arrays)])
+    aimed = np.concatenate([_unpacked(r[3], len(a)) for r, a in zip(rows, arrays)])
+    chunk = np.repeat(np.array([r[0] for r in rows]), [len(a) for a in arrays])
+    order = np.argsort(keys, kind="stable")
+    keys, chunk = keys[order], chunk[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    size = np.diff(np.append(first, len(keys)))
+    shared = np.repeat(size > 1, size)
+    n = np.repeat(np.add.reduceat(n[order], first), size)[shared]
+    aimed = np.repeat(np.add.reduceat(aimed[order], first), size)[shared]
+    n_words = int(np.count_nonzero(keys[first] & np.uint64(3) == _WORD))
+    keys, chunk = keys[shared], chunk[shared]
+    order = np.argsort(chunk, kind="stable")
+    keys, n, aimed, chunk = keys[order], n[order], aimed[order], chunk[order]
+    bucket = table.column("bucket")[0].as_py()
+    out = [
+        (bucket, int(chunk[a]), keys[a:b].tobytes(), _packed(n[a:b]), _packed(aimed[a:b]))
+        for a, b in _slices(keys, np.flatnonzero(np.diff(chunk)) + 1)
+    ]
+    out.append((bucket, -1, b"", _packed(np.array([n_words])), b""))
+    return pa.Table.from_batches([_counts_batch(out)])
+
+
+def _rater(schema: pa.Schema, total: int, total_target: int, vocabulary: int):
+    def rate(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for row in _rows(chunks):
+            counts = _Counts(row)
+            order = np.argsort(counts.keys, kind="stable")
+            for answer in _rows(answers):
+                keys = np.frombuffer(answer["keys"], "<u8")
+                at = order[np.searchsorted(counts.keys, keys, sorter=order)]
+                counts.n[at] = _unpacked(answer["n"], len(keys))
+                counts.n_target[at] = _unpacked(answer["n_target"], len(keys))
+            target = counts.sums(counts.losses(counts.n_target, total_target, vocabulary))
+            background = counts.sums(counts.losses(counts.n, total, vocabulary))
+            values = [row["ids"], row["rows"], row["lengths"], target, background]
+            out.append(pa.RecordBatch.from_arrays(
+                [pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema
+            ))
+        return pa.Table.from_batches(out, schema=schema)
+
+    return rate
 
 
 def score(
@@ -130,7 +270,8 @@ def score(
     target_ids: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    size: int = VOCABULARY,
+    chunk: int = CHUNK,
+    key_range: int = RANGE,
 ) -> DataFrame:
     """Id, n_words, target_loss, background_loss and score of every row.
 
@@ -138,45 +279,64 @@ def score(
     """
     spark = df.sparkSession
     ship_package(spark)
-    known = vocabulary(df.select(text_col), size)
-    width = len(known) + 2
+    # Written first: the planner then knows its size and moves texts only if it is large.
+    aims = keep(target_ids.toDF("target").where("target IS NOT NULL").distinct())
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    coded = keep(rows.mapInArrow(_encoder(known), "id long, coded binary"))
-    aims = target_ids.toDF("target").distinct()
-    aimed = coded.join(aims, coded["id"] == aims["target"], "left")
-    partial = aimed.select("coded", F.col("target").isNotNull().alias("aimed")).mapInArrow(
-        _bigram_counter(width), "cell long, n long, n_target long"
+    rows = rows.join(aims, rows["id"] == aims["target"], "left").select(
+        "id", "text", F.col("target").isNotNull().alias("aimed")
     )
-    total = partial.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    found = total.toArrow()
-    both = np.zeros((2, width * width), dtype=np.int64)
-    cells = found.column("cell").to_numpy()
-    both[0, cells] = found.column("n").to_numpy()
-    both[1, cells] = found.column("n_target").to_numpy()
-    tables = spark.sparkContext.broadcast((losses(both[1], width), losses(both[0], width)))
-
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, background = tables.value
-        for batch in batches:
-            out = []
-            for text in batch.column(1):
-                at = _cells(text.as_py(), width)
-                n = len(at)
-                a, b = (float(target[at].sum()) / n, float(background[at].sum()) / n) if n else (
-                    None, None)
-                out.append((n, a, b, None if a is None else a - b))
-            columns = list(zip(*out)) or [(), (), (), ()]
-            kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *arrays],
-                names=["id", "n_words", "target_loss", "background_loss", "score"],
-            )
-
-    scored = coded.mapInArrow(
-        rate, "id long, n_words long, target_loss double, background_loss double, score double"
+    kind = rows.schema["id"].dataType
+    staged = T.StructType.fromDDL(
+        "chunk long, ids array<string>, rows array<long>, aimed array<boolean>, "
+        "lengths array<long>, coded binary, words binary"
+    )
+    staged["ids"].dataType = T.ArrayType(kind)
+    chunks = keep(
+        rows.mapInArrow(_chunker(to_arrow_schema(staged), chunk), staged),
+        # A row is some megabytes: the writer has to look at sizes more often.
+        {"parquet.block.size.row.check.min": "4", "parquet.block.size": str(32 << 20)},
+    )
+    longs = F.lit(0).cast("long")
+    sizes = chunks.select(
+        F.explode(F.arrays_zip("lengths", "aimed")).alias("t")
+    ).agg(
+        F.coalesce(F.sum("t.lengths"), longs).alias("n"),
+        F.coalesce(F.sum(F.when(F.col("t.aimed"), F.col("t.lengths"))), longs).alias("n_target"),
+    ).first()
+    buckets = max(1, -(-sizes["n"] // key_range))
+    counted = chunks.select("chunk", "aimed", "lengths", "coded", "words").mapInArrow(
+        _counter(buckets), _COUNTS
+    )
+    answers = keep(counted.groupBy("bucket").applyInArrow(_add_up, _COUNTS))
+    found = answers.where("chunk = -1").select("n").mapInArrow(_numbers, "n long")
+    vocabulary = found.agg(F.coalesce(F.sum("n"), longs)).first()[0]
+    parts = T.StructType.fromDDL(
+        "id string, row long, n_words long, target_loss double, background_loss double"
     )
-    return scored.withColumnRenamed("id", id_col)
+    parts["id"].dataType = kind
+    rated = (
+        chunks.groupBy("chunk")
+        .cogroup(answers.where("chunk >= 0").groupBy("chunk"))
+        .applyInArrow(_rater(to_arrow_schema(parts), sizes["n"], sizes["n_target"], vocabulary), parts)
+    )
+    # Texts longer than a chunk have several parts.
+    added = rated.groupBy("row").agg(
+        F.first("id").alias("id"), F.sum("n_words").alias("n_words"),
+        *[F.sum(c).alias(c) for c in ("target_loss", "background_loss")],
+    )
+    target, background = (
+        F.try_divide(c, F.col("n_words")) for c in (F.col("target_loss"), F.col("background_loss"))
+    )
+    return added.select(
+        F.col("id").alias(id_col), "n_words", target.alias("target_loss"),
+        background.alias("background_loss"), (target - background).alias("score"),
+    )
+
+
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = [int(_unpacked(v.as_py(), 1)[0]) for v in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64())], names=["n"])
 
 
 _FOLD = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -194,7 +354,7 @@ def _model_sql(name: str, where: str) -> str:
 
 def _p_sql(name: str) -> str:
     """Probability of a bigram of the table ``cells``."""
-    single = f"(coalesce({name}_uni.n, 0) + 1) / ({name}_all.n + vocab_size.n + 1)::DOUBLE"
+    single = f"(coalesce({name}_uni.n, 0) + 1) / ({name}_all.n + vocab_size.n)::DOUBLE"
     return (
         f"CASE WHEN {name}_h.n IS NULL THEN {single} ELSE {BIGRAM_WEIGHT} * "
         f"coalesce({name}_bi.n, 0) / {name}_h.n::DOUBLE + (1 - {BIGRAM_WEIGHT}::DOUBLE) * {single} END"
@@ -217,14 +377,10 @@ WITH docs AS (
   FROM documents
 ), flat AS (
   SELECT r, aimed, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM docs
-), vocab AS (
-  SELECT word FROM flat GROUP BY word ORDER BY count(*) DESC, encode(word) LIMIT {VOCABULARY}
-), vocab_size AS (SELECT count(*) AS n FROM vocab
-), known AS (
-  SELECT r, aimed, i, CASE WHEN vocab.word IS NULL THEN ' ' ELSE flat.word END AS w
-  FROM flat LEFT JOIN vocab USING (word)
+), vocab_size AS (SELECT count(DISTINCT word) AS n FROM flat
 ), bigrams AS (
-  SELECT r, aimed, w, coalesce(lag(w) OVER (PARTITION BY r ORDER BY i), '') AS h FROM known
+  SELECT r, aimed, word AS w, coalesce(lag(word) OVER (PARTITION BY r ORDER BY i), '') AS h
+  FROM flat
 ), cells AS (SELECT DISTINCT h, w FROM bigrams)
 {"".join(_model_sql(n, w) for n, w in _SIDES.items())}
 , rated AS (

@@ -60,6 +60,30 @@ def test_scoring_of_odd_tables(spark, odd, empty):
     assert scoring.score(empty, target).count() == 0
 
 
+def test_scoring_in_small_chunks(spark, texts):
+    """Texts over several chunks, counts over many ranges: the figures of one chunk."""
+    documents = spark.createDataFrame(texts[:60] + texts[:3] + [(None, "a b"), (-1, None)], "doc_id long, text string")
+    target = documents.where("doc_id % 3 = 0").select("doc_id")
+
+    def rows(**sizes):
+        found = scoring.score(documents, target, **sizes).collect()
+        return sorted(tuple(r) if r.score is None else (*r[:2], *(round(x, 9) for x in r[2:])) for r in found
+                      if r.doc_id is not None)
+
+    assert rows(chunk=13, key_range=500) == rows() and len(rows()) == 64
+
+
+def test_rare_words_tell_documents_apart(spark):
+    """Two words that occur once each, one of them in the target, among 3,000 others."""
+    many = " ".join(f"w{i} w{i}" for i in range(3_000))
+    rows = [(0, many), (1, "w1 rare w2"), (2, "w1 rare w2"), (3, "w1 other w2")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    target = documents.where("doc_id = 1").select(F.col("doc_id").cast("string"))
+    strings = documents.withColumn("doc_id", F.col("doc_id").cast("string"))
+    found = {r.doc_id: r.score for r in scoring.score(strings, target).collect()}
+    assert found["1"] == found["2"] < found["3"]
+
+
 def test_mix_meets_targets_and_bounds(spark):
     rows = llm.op2_pivotal_mix(spark, SMALL).collect()
     again = llm.op2_pivotal_mix(spark, SMALL).collect()
