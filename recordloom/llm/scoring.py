@@ -9,12 +9,12 @@ logarithms); lower means closer to the target.
 
 Counts cover every word of every document and grow with the corpus; none come to the driver.
 Texts are dealt into chunks of ``CHUNK`` words (longer texts over several) and encoded by a
-list of the chunk's words, one staged row per chunk.  A chunk counts its bigrams, words and
-preceding words once, under 64-bit keys, and sends them as packed arrays to key ranges of about
-``RANGE`` counts; a key comes at most once from a chunk, so no hot word fills a range.  A range
-adds up its keys and answers only chunks that share a key with another one: all other counts of
-a chunk are the whole corpus's already.  Chunks and answers meet by chunk, where losses are
-summed per text.
+list of the chunk's words, one staged row per chunk.  A chunk counts its bigrams and words
+(of the latter also how often they precede a word) once, under 64-bit keys, and sends them as packed
+arrays, sorted by key, to key ranges of about ``RANGE`` words; a key comes at most once from a
+chunk, so no hot word fills a range.  A range adds up its keys and answers every chunk with the sums in
+the order of the keys that it sent.  Chunks and answers meet by chunk, where losses are summed
+per text.
 
 Defined results: null or empty text has 0 words and null losses and score; words are
 folded to lower case for A-Z only; a target without documents gives the uniform model;
@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,11 +42,11 @@ from recordloom.shipping import ship_package
 
 BIGRAM_WEIGHT = 0.7
 CHUNK = 1 << 19
-RANGE = 1 << 22
-# What a key counts; the last two bits of the key.
-_BIGRAM, _WORD, _BEFORE = 0, 1, 2
+RANGE = 1 << 21
+# What a key counts; the last bit of the key.
+_BIGRAM, _WORD = 0, 1
 _START = b""
-_COUNTS = "bucket long, chunk long, keys binary, n binary, n_target binary"
+_COUNTS = "bucket long, chunk long, size long, keys binary, counts binary"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -53,13 +54,17 @@ def words(text: str | None) -> list[bytes]:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest one needs."""
-    kind = np.min_scalar_type(int(values.max()) if len(values) else 0)
-    return values.astype(kind.newbyteorder("<")).tobytes()
+    """Whole numbers, compressed byte by byte: all last bytes, then all bytes before them."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    width = 1 + max((i for i in range(8) if planes[i].any()), default=0)
+    return zstandard.compress(planes[:width].tobytes(), 1)
 
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(-1, max(1, n))
+    out = np.zeros((n, 8), np.uint8)
+    out[:, : len(planes)] = planes.T[:n]
+    return out.view("<u8").ravel()
 
 
 class _Chunk:
@@ -89,7 +94,7 @@ class _Chunk:
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.index], dtype="<u8")
         values = [
             self.number, self.ids, self.rows, self.aimed, self.lengths,
-            np.concatenate(self.coded).tobytes(), hashes.tobytes(),
+            _packed(np.concatenate(self.coded)), hashes.tobytes(),
         ]
         return pa.RecordBatch.from_arrays(
             [pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema
@@ -128,45 +133,48 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _typed(hashes: np.ndarray, kind: int) -> np.ndarray:
-    return (_mixed(hashes, np.full(len(hashes), kind, np.uint64)) & ~np.uint64(3)) | np.uint64(kind)
+    return (_mixed(hashes, np.full(len(hashes), kind, np.uint64)) & ~np.uint64(1)) | np.uint64(kind)
 
 
 class _Counts:
-    """The bigrams of a chunk: which one stands where, their keys and their counts."""
+    """The bigrams of a chunk: which one stands where; their keys and the words', sorted.
+
+    ``counts`` has a column per key: how often it occurs, the same in target documents, and for
+    words how often they precede a word, the same in target documents.
+    """
 
     def __init__(self, row: dict):
-        lengths = np.array(row["lengths"], dtype=np.int64)
-        coded = np.frombuffer(row["coded"], "<u4").astype(np.int64)
+        self.lengths = np.array(row["lengths"], dtype=np.int64)
+        # Every part is led by the word before it.
+        starts = np.cumsum(self.lengths + 1) - self.lengths - 1
+        coded = _unpacked(row["coded"], int(self.lengths.sum()) + len(starts)).astype(np.int64)
         hashes = np.frombuffer(row["words"], "<u8")
         width = len(hashes)
-        ends = np.cumsum(lengths + 1)
-        inner = np.ones(len(coded), dtype=bool)
-        inner[ends - lengths - 1] = False
-        now = np.flatnonzero(inner)
-        self.lengths = lengths
+        now = np.delete(np.arange(len(coded)), starts)
         cells, self.at = np.unique(coded[now - 1] * width + coded[now], return_inverse=True)
         self.before, self.word = cells // width, cells % width
-        aimed = np.repeat(np.array(row["aimed"], dtype=bool), lengths)
-        counts = [np.bincount(self.at, minlength=len(cells)),
-                  np.bincount(self.at[aimed], minlength=len(cells))]
-        # Bigrams, then words, then preceding words.
-        self.n, self.n_target = (
-            np.concatenate([c, *(np.bincount(x, c, width).astype(np.int64) for x in (self.word, self.before))])
-            for c in counts
-        )
-        self.keys = np.concatenate([
-            _typed(_mixed(hashes[self.before], hashes[self.word]), _BIGRAM),
-            _typed(hashes, _WORD), _typed(hashes, _BEFORE),
+        aimed = np.repeat(np.array(row["aimed"], dtype=bool), self.lengths)
+        counts = np.zeros((4, len(cells) + width), dtype=np.int64)
+        for i, at in enumerate((self.at, self.at[aimed])):
+            n = np.bincount(at, minlength=len(cells))
+            counts[i, : len(cells)] = n
+            counts[i, len(cells) :] = np.bincount(self.word, n, width)
+            counts[i + 2, len(cells) :] = np.bincount(self.before, n, width)
+        keys = np.concatenate([
+            _typed(_mixed(hashes[self.before], hashes[self.word]), _BIGRAM), _typed(hashes, _WORD)
         ])
-        self.width = width
+        self.order = np.argsort(keys, kind="stable")
+        self.keys, self.counts = keys[self.order], counts[:, self.order]
 
-    def losses(self, n: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
-        """Minus log probability of each bigram."""
+    def losses(self, model: int, counts: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
+        """Minus log probability of each bigram by the sums over all chunks."""
+        there = np.empty_like(counts)
+        there[:, self.order] = counts
         k = len(self.word)
-        single = (n[k : k + self.width][self.word] + 1) / (total + vocabulary)
-        follows = n[k + self.width :][self.before]
+        single = (there[model, k:][self.word] + 1) / (total + vocabulary)
+        follows = there[model + 2, k:][self.before]
         weight = np.where(follows > 0, BIGRAM_WEIGHT, 0.0)
-        return -np.log(weight * n[:k] / np.maximum(follows, 1) + (1 - weight) * single)
+        return -np.log(weight * there[model, :k] / np.maximum(follows, 1) + (1 - weight) * single)
 
     def sums(self, losses: np.ndarray) -> np.ndarray:
         """Losses added up over each text's words."""
@@ -185,11 +193,11 @@ def _slices(keys: np.ndarray, borders: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _counts_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     columns = list(zip(*rows)) or [()] * len(kinds)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)],
-        names=["bucket", "chunk", "keys", "n", "n_target"],
+        names=["bucket", "chunk", "size", "keys", "counts"],
     )
 
 
@@ -199,47 +207,40 @@ def _counter(buckets: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                counts = _Counts(row)
-                # Words that stand only before or only after a part count there alone.
-                there = np.flatnonzero(counts.n)
-                there = there[np.argsort(counts.keys[there], kind="stable")]
-                keys, n, aimed = counts.keys[there], counts.n[there], counts.n_target[there]
-                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                borders = np.flatnonzero(np.diff(bucket)) + 1
+                chunk = _Counts(row)
+                bucket = ((chunk.keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 yield _counts_batch([
-                    (int(bucket[a]), row["chunk"], keys[a:b].astype("<u8").tobytes(),
-                     _packed(n[a:b]), _packed(aimed[a:b]))
-                    for a, b in _slices(keys, borders)
+                    (int(bucket[a]), row["chunk"], b - a,
+                     _packed(np.diff(chunk.keys[a:b], prepend=np.uint64(0))),
+                     _packed(chunk.counts[:, a:b].ravel()))
+                    for a, b in _slices(chunk.keys, np.flatnonzero(np.diff(bucket)) + 1)
                 ])
 
     return count
 
 
 def _add_up(table: pa.Table) -> pa.Table:
-    """Whole counts of one range's keys, for chunks that share a key; different words (chunk -1)."""
-    rows = list(zip(*(table.column(c).to_pylist() for c in ("chunk", "keys", "n", "n_target"))))
-    arrays = [np.frombuffer(k, "<u8") for _, k, _, _ in rows]
-    keys = np.concatenate(arrays)
-    n = np.concatenate([_unpacked(r[2], len(a)) for r, a in zip(rows, arrays)])
-    aimed = np.concatenate([_unpacked(r[3], len(a)) for r, a in zip(rows, arrays)])
-    chunk = np.repeat(np.array([r[0] for r in rows]), [len(a) for a in arrays])
+    """Sums over one range's keys for every chunk; the number of words (chunk -1)."""
+    bucket, chunks, sizes, keys, counts = (c.to_pylist() for c in table.columns)
+    keys = np.concatenate([
+        np.cumsum(_unpacked(k, n), dtype=np.uint64) for k, n in zip(keys, sizes)
+    ])
+    counts = np.concatenate(
+        [_unpacked(c, 4 * n).reshape(4, n).astype(np.int64) for c, n in zip(counts, sizes)], axis=1
+    )
     order = np.argsort(keys, kind="stable")
-    keys, chunk = keys[order], chunk[order]
+    keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    size = np.diff(np.append(first, len(keys)))
-    shared = np.repeat(size > 1, size)
-    n = np.repeat(np.add.reduceat(n[order], first), size)[shared]
-    aimed = np.repeat(np.add.reduceat(aimed[order], first), size)[shared]
-    n_words = int(np.count_nonzero(keys[first] & np.uint64(3) == _WORD))
-    keys, chunk = keys[shared], chunk[shared]
-    order = np.argsort(chunk, kind="stable")
-    keys, n, aimed, chunk = keys[order], n[order], aimed[order], chunk[order]
-    bucket = table.column("bucket")[0].as_py()
+    own = np.empty(len(keys), dtype=np.int64)
+    own[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+    sums = np.add.reduceat(counts[:, order], first, axis=1)
+    n_words = np.count_nonzero((keys[first] & np.uint64(1) == _WORD) & (sums[0] > 0))
+    ends = np.cumsum(sizes)
     out = [
-        (bucket, int(chunk[a]), keys[a:b].tobytes(), _packed(n[a:b]), _packed(aimed[a:b]))
-        for a, b in _slices(keys, np.flatnonzero(np.diff(chunk)) + 1)
+        (bucket[0], chunk, n, None, _packed(sums[:, own[end - n : end]].ravel()))
+        for chunk, n, end in zip(chunks, sizes, ends)
     ]
-    out.append((bucket, -1, b"", _packed(np.array([n_words])), b""))
+    out.append((bucket[0], -1, 1, None, _packed(np.array([n_words]))))
     return pa.Table.from_batches([_counts_batch(out)])
 
 
@@ -247,15 +248,15 @@ def _rater(schema: pa.Schema, total: int, total_target: int, vocabulary: int):
     def rate(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         for row in _rows(chunks):
-            counts = _Counts(row)
-            order = np.argsort(counts.keys, kind="stable")
-            for answer in _rows(answers):
-                keys = np.frombuffer(answer["keys"], "<u8")
-                at = order[np.searchsorted(counts.keys, keys, sorter=order)]
-                counts.n[at] = _unpacked(answer["n"], len(keys))
-                counts.n_target[at] = _unpacked(answer["n_target"], len(keys))
-            target = counts.sums(counts.losses(counts.n_target, total_target, vocabulary))
-            background = counts.sums(counts.losses(counts.n, total, vocabulary))
+            chunk = _Counts(row)
+            parts = answers.sort_by("bucket").select(["size", "counts"]).to_pylist()
+            sums = np.concatenate(
+                [_unpacked(p["counts"], 4 * p["size"]).reshape(4, -1) for p in parts], axis=1
+            ).astype(np.int64)
+            target, background = (
+                chunk.sums(chunk.losses(model, sums, n, vocabulary))
+                for model, n in ((1, total_target), (0, total))
+            )
             values = [row["ids"], row["rows"], row["lengths"], target, background]
             out.append(pa.RecordBatch.from_arrays(
                 [pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema
@@ -308,7 +309,7 @@ def score(
         _counter(buckets), _COUNTS
     )
     answers = keep(counted.groupBy("bucket").applyInArrow(_add_up, _COUNTS))
-    found = answers.where("chunk = -1").select("n").mapInArrow(_numbers, "n long")
+    found = answers.where("chunk = -1").select("counts").mapInArrow(_numbers, "n long")
     vocabulary = found.agg(F.coalesce(F.sum("n"), longs)).first()[0]
     parts = T.StructType.fromDDL(
         "id string, row long, n_words long, target_loss double, background_loss double"
