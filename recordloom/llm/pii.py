@@ -1,8 +1,9 @@
 r"""Personal data: validated patterns as seeds, and bootstrapped contexts that find more.
 
 Seeds are e-mail addresses, IPv4 addresses, card numbers (Luhn) and phone numbers.  The text
-just before and after a seed gives lexical patterns of one to ``CONTEXT`` words, such as
-``contact `` on the left or `` or call`` on the right.  The same is taken for every
+just before and after a seed gives lexical patterns of one to ``CONTEXT`` words of any length,
+with up to six other characters beside and between them, such as ``contact `` on the left or
+`` or call`` on the right.  The same is taken for every
 identifier-like word, at least ``LEAST`` letters, digits, ``_`` and ``-`` with two digits or more, outside the seeds.
 Patterns and instances form a graph whose edges count occurrences.  Scores go round it
 ``ROUNDS`` times: seeds score 1 and stay so, a pattern in which at least ``SUPPORT`` different
@@ -55,7 +56,10 @@ _IDENTIFIER = (
 )
 _BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})?"
 _BLOCK = 256
-_NEAR = 80
+# The nearest words of a gap between spans, up to CONTEXT on a side, with what lies between.
+_LETTERS, _BETWEEN, _BESIDE = r"\p{L}++", r"[^\p{L}]{1,6}+", r"[^\p{L}]{0,6}+"
+_TAIL = rf"((?:(?<!\p{{L}}){_LETTERS}{_BETWEEN}){{0,{CONTEXT - 1}}}(?<!\p{{L}}){_LETTERS}{_BESIDE})$"
+_HEAD = rf"^({_BESIDE}{_LETTERS}(?:{_BETWEEN}{_LETTERS}){{0,{CONTEXT - 1}}})"
 
 
 def _quoted(pattern: str) -> str:
@@ -82,7 +86,8 @@ def _spans(text: str, pattern: str, needs: str) -> str:
         aggregate(slice(w.b, 1, i div {_BLOCK}), 0L, (a, y) -> a + y)
         + aggregate(slice(w.l, (i div {_BLOCK}) * {_BLOCK} + 1, i % {_BLOCK}), 0L, (a, y) -> a + y)
         + length(w.g[i])), s -> named_struct('s', s, 'e', s + length(x), 't', x,
-            'p', right(w.g[i], {_NEAR}), 'n', left(w.g[i + 1], {_NEAR})))[0]))[0])[0])[0]
+            'p', regexp_extract(w.g[i], {_quoted(_TAIL)}, 1),
+            'n', regexp_extract(w.g[i + 1], {_quoted(_HEAD)}, 1)))[0]))[0])[0])[0]
     ELSE cast(array() AS array<struct<s: bigint, e: bigint, t: string, p: string, n: string>>) END
     """
 
@@ -109,13 +114,12 @@ _VALID = {
 
 def _occurrence(span: Column) -> Column:
     """A span with its patterns: on each side the nearest words and what lies between."""
-    word, gap = r"\p{L}+", r"[^\p{L}]{1,6}"
     patterns = []
     for n in range(CONTEXT):
         left = F.regexp_extract(
-            span["p"], rf"((?:(?<!\p{{L}}){word}{gap}){{{n}}}(?<!\p{{L}}){word}[^\p{{L}}]{{0,6}})$", 1
+            span["p"], rf"((?:(?<!\p{{L}}){_LETTERS}{_BETWEEN}){{{n}}}(?<!\p{{L}}){_LETTERS}{_BESIDE})$", 1
         )
-        right = F.regexp_extract(span["n"], rf"^([^\p{{L}}]{{0,6}}{word}(?:{gap}{word}){{{n}}})(?!\p{{L}})", 1)
+        right = F.regexp_extract(span["n"], rf"^({_BESIDE}{_LETTERS}(?:{_BETWEEN}{_LETTERS}){{{n}}})", 1)
         patterns.append(F.concat(F.lit("< "), F.lower(left)))
         patterns.append(F.concat(F.lit("> "), F.lower(right)))
     return F.struct(

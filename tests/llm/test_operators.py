@@ -228,6 +228,20 @@ def test_identifier_in_running_text(spark):
     assert found[11].n_id == found[12].n_id == 0
 
 
+def test_identifier_after_long_words(spark):
+    """Contexts are taken by words, however long: three words of 300 letters, which differ in the first."""
+    near = " ".join(["b" * 300, "c" * 300, ""])
+    rows = [(i, f"{'a' * 300} {near}1.2.3.{i} {near}end") for i in range(6)]
+    rows += [(i, f"{'x' * 300} {near}note, {near}AB-{i}-12x") for i in range(20, 24)]
+    rows += [(10, f"{'a' * 300} {near}AB-99-12x {near}end"), (11, f"no{near}AB-11-12x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    contexts = {r.id: set(r.words[0].patterns) for r in pii.extract(df).collect() if r.words}
+    assert f"< {'a' * 300} {near}" in contexts[10] and f">  {near}end" in contexts[10]
+    assert f"< no{near}" in contexts[11] and f"< {near}" not in contexts[11]
+    found = {r.doc_id: r for r in pii.find(df).collect()}
+    assert found[10].n_id == 1
+
+
 def test_urls(spark):
     rows = [(i, u) for i, u in enumerate([
         "http://A.example.NET/en/x", "https://example.net/de/1", "http://example.com/de/2?x",
