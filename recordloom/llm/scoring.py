@@ -43,6 +43,8 @@ from recordloom.shipping import ship_package
 BIGRAM_WEIGHT = 0.7
 CHUNK = 1 << 19
 RANGE = 1 << 21
+# Target ids of up to so many bytes go to every executor, more are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
 # What a key counts; the last bit of the key.
 _BIGRAM, _WORD = 0, 1
 _START = b""
@@ -280,8 +282,10 @@ def score(
     """
     spark = df.sparkSession
     ship_package(spark)
-    # Written first: the planner then knows its size and moves texts only if it is large.
     aims = keep(target_ids.toDF("target").where("target IS NOT NULL").distinct())
+    measured = aims.agg(F.sum(F.octet_length(F.col("target").cast("string")) + 16)).first()[0]
+    if (measured or 0) <= BROADCAST_BYTES:
+        aims = F.broadcast(aims)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = rows.join(aims, rows["id"] == aims["target"], "left").select(
         "id", "text", F.col("target").isNotNull().alias("aimed")
