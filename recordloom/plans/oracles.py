@@ -306,6 +306,24 @@ SELECT count(*) AS n_requests,
   CAST(sum(n_chars) AS DOUBLE) / (CAST(sum(doc_id % 1000 + 1) AS DOUBLE) / 1000)
     AS tokens_per_model_second
 FROM documents""",
+    "latency_quantiles": """
+SELECT coalesce(source, '') AS source, rank, count(*) AS n_requests, true AS is_within,
+  CASE rank WHEN 0 THEN min(doc_id * 7919 % 10007) WHEN 1 THEN max(doc_id * 7919 % 10007) END::DOUBLE
+    AS extreme_ms
+FROM documents, (SELECT unnest([0.0, 0.5, 0.9, 0.99, 1.0])::DOUBLE AS rank) GROUP BY 1, rank""",
+    "offending_values": f"""
+WITH {VIOLATIONS}
+, met AS (
+  SELECT path, rule, CAST(json_extract(t, path) AS VARCHAR) AS value FROM violations JOIN damaged USING (doc_id)
+  WHERE rule IN ('type', 'enum', 'range')
+), shown AS (
+  SELECT path, rule, CASE WHEN length(value) <= 200 THEN value
+    ELSE 'sha256:' || sha256(value) || ':' || length(value) END AS value
+  FROM met WHERE value IS NOT NULL
+)
+SELECT path, rule, sum(count(*)) OVER (PARTITION BY path, rule)::BIGINT AS n, value,
+  count(*) AS n_value
+FROM shown GROUP BY path, rule, value""",
     "category_difficulty": f"""
 WITH {RAW}
 SELECT json_extract_string(t, '$.problem_metadata.category') AS category,

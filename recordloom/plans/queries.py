@@ -17,7 +17,7 @@ from recordloom.backends.template import EchoBackend, template_record
 from recordloom.functions import json_text
 from recordloom.functions.chat import chat_messages, sampling_params
 from recordloom.functions.salvage import salvaged
-from recordloom.operators import check, lists, measure
+from recordloom.operators import check, lists, measure, profile
 from recordloom.operators.generate import build_requests, generate, pending, spread
 from recordloom.operators.once import once
 from recordloom.operators.schema_rules import rule_table, schema_violations
@@ -302,6 +302,44 @@ def throughput(spark: SparkSession, folder: str) -> DataFrame:
     return measure.throughput(done).drop("tokens_per_second")
 
 
+def latency_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Latencies of three runs, sketched and saved per run and source, merged by source.
+
+    Next to each quantile stands whether its true rank, counted over the rows, is within the
+    sketch's error; least and greatest values are exact.
+    """
+    done = table(spark, folder, "documents").select(
+        F.coalesce("source", F.lit("")).alias("source"),
+        F.concat(F.lit("run"), F.col("doc_id") % 3).alias("run"),
+        (F.col("doc_id") * 7919 % 10007).cast("double").alias("generation_ms"),
+    )
+    path = scratch_path(spark, "latencies")
+    profiles = profile.latency_profile(done, F.col("run"), ["source"])
+    stage(profiles, path)
+    saved = spark.read.schema(profiles.schema).parquet(path)
+    asked = profile.latency_quantiles(profile.merged_latencies(saved, ["source"]))
+    counted = done.join(asked, "source").groupBy("source", "rank", "n_requests", "latency_ms").agg(
+        F.count_if(F.col("generation_ms") < F.col("latency_ms")).alias("below"),
+        F.count_if(F.col("generation_ms") <= F.col("latency_ms")).alias("up_to"),
+    )
+    place, slack = F.col("rank") * F.col("n_requests"), profile.QUANTILE_ERROR * F.col("n_requests") + 1
+    return counted.select(
+        "source", "rank", "n_requests",
+        ((F.col("below") <= place + slack) & (F.col("up_to") >= place - slack)).alias("is_within"),
+        F.when(F.col("rank").isin(0.0, 1.0), F.col("latency_ms")).alias("extreme_ms"),
+    )
+
+
+def offending_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that break a rule, by frequency: item sketches of two runs, saved and merged."""
+    texts, path = damaged(spark, folder), scratch_path(spark, "offending")
+    for run in range(2):
+        values = profile.offending_values(texts.where(F.col("doc_id") % 2 == run))
+        stage(profile.item_profile(values, f"run{run}"), f"{path}/{run}")
+    saved = spark.read.parquet(f"{path}/0").unionByName(spark.read.parquet(f"{path}/1"))
+    return profile.frequent_values(profile.merged_items(saved), 1_000)
+
+
 def resumed_generation(spark: SparkSession, folder: str) -> DataFrame:
     """A run that stopped when a third of the prompts was answered, gone on with to the end."""
     path = scratch_path(spark, "resumed")
@@ -618,6 +656,8 @@ QUERIES: dict[str, Query] = {
     "generation_errors": generation_errors,
     "generation_totals": generation_totals,
     "throughput": throughput,
+    "latency_quantiles": latency_quantiles,
+    "offending_values": offending_values,
     "resumed_generation": resumed_generation,
     "salvaged_records": salvaged_records,
     "category_difficulty": category_difficulty,
