@@ -24,6 +24,15 @@ VALUE_RULES = ("type", "enum", "range")
 RANKS = (0.0, 0.5, 0.9, 0.99, 1.0)
 
 
+def latency_measures() -> list[Column]:
+    """Aggregates of a profile, for a grouping or to be observed on rows on their way."""
+    return [
+        F.count(F.lit(1)).alias("n_requests"),
+        F.count("generation_ms").alias("n_timed"),
+        F.kll_sketch_agg_double(F.col("generation_ms").cast("double"), SKETCH_SIZE).alias("latency"),
+    ]
+
+
 def latency_profile(generated: DataFrame, run: str | Column, by: list[str] | None = None) -> DataFrame:
     """A row per value of ``by``: ``run``, ``n_requests``, ``n_timed`` and ``latency``, a sketch of
     ``generation_ms``.
@@ -32,11 +41,7 @@ def latency_profile(generated: DataFrame, run: str | Column, by: list[str] | Non
     of no values.  Save it with the run (a few kB a row) and merge it later.
     """
     run = F.lit(run) if isinstance(run, str) else run
-    return generated.groupBy(run.alias("run"), *(by or [])).agg(
-        F.count(F.lit(1)).alias("n_requests"),
-        F.count("generation_ms").alias("n_timed"),
-        F.kll_sketch_agg_double(F.col("generation_ms").cast("double"), SKETCH_SIZE).alias("latency"),
-    )
+    return generated.groupBy(run.alias("run"), *(by or [])).agg(*latency_measures())
 
 
 def merged_latencies(profiles: DataFrame, by: list[str] | None = None) -> DataFrame:

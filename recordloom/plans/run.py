@@ -18,6 +18,7 @@ from recordloom.functions.chat import DEFAULT_SYSTEM_TEXT
 from recordloom.operators.check import check_records
 from recordloom.operators.generate import build_requests, generate, pending, spread
 from recordloom.operators.measure import RULES, check_counted, counted
+from recordloom.operators.profile import latency_measures
 from recordloom.schema import json_schema_text
 from recordloom.settings import RunConfig
 from recordloom.sinks.jsonl import result_rows, run_name, sink_rows, write_jsonl
@@ -57,6 +58,10 @@ class RunResult:
     def records_path(self) -> str | None:
         return self.folder and f"{self.folder}/records"
 
+    @property
+    def latency_path(self) -> str | None:
+        return self.folder and f"{self.folder}/latency"
+
 
 def run(
     spark: SparkSession,
@@ -83,6 +88,8 @@ def run(
         settings/   the run's settings, written before any model runs
         records/    checked records, partitioned by is_valid; text of rejected ones only
         output/     JSON Lines of every generated text
+        latency/    one row, the sketch of the model's times (``run``, ``n_requests``, ``n_timed``,
+                    ``latency``), to be merged with other runs' (operators/profile.py)
 
     Any failure raises; an output path that exists or cannot be written fails at once.
 
@@ -141,6 +148,7 @@ def run(
         F.count(F.lit(1)).alias("n"),
         F.count("generation_error").alias("n_failed"),
         F.coalesce(F.sum("n_output_tokens"), F.lit(0)).alias("n_output_tokens"),
+        *latency_measures(),
     ]
     stage_parts(answered(pending(prompts, done)).observe(seen, *measures), raw_path)
     raw = spark.read.schema(schema).parquet(raw_path)
@@ -149,6 +157,7 @@ def run(
     if counts["n"] != n_prompts:
         raise RunError(f"{n_prompts} prompts gave {counts['n']} rows, see {raw_path}")
 
+    _save_latency(spark, folder, counts)
     # Valid rows hold the parsed record; their text stays in the raw and the saved rows.
     rejected_text = F.when(~F.col("is_valid"), F.col("generated_text"))
     checked, checks = check_counted(
@@ -198,6 +207,12 @@ def _save_settings(spark: SparkSession, config: RunConfig, folder: str, raw_path
     table.coalesce(1).write.mode("errorifexists").json(f"{folder}/settings")
 
 
+def _save_latency(spark: SparkSession, folder: str, counts: dict[str, Any]) -> None:
+    row = (folder.rsplit("/", 1)[-1], counts["n_requests"], counts["n_timed"], bytes(counts["latency"]))
+    table = spark.createDataFrame([row], "run string, n_requests long, n_timed long, latency binary")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{folder}/latency")
+
+
 def _settings_of(spark: SparkSession, config: RunConfig, folder: str) -> str:
     """The raw table of an earlier run, whose settings have to be the same."""
     row = _settings_row(config)

@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from recordloom.__main__ import main
 from recordloom.backends.base import Generation
 from recordloom.backends.template import TemplateBackend, template_text
+from recordloom.operators import profile
 from recordloom.plans.run import read_records, run
 from recordloom.settings import RunConfig
 from recordloom.sinks.jsonl import SINK_COLUMN
@@ -56,6 +57,21 @@ def test_run_from_a_list(spark, tmp_path):
     assert calls.value == 3  # the second run stopped before the model
 
 
+def test_latencies_of_several_runs(spark, tmp_path):
+    class Slow(TemplateBackend):
+        def generate(self, batch):
+            time.sleep(0.02)
+            return super().generate(batch)
+
+    done = [run(spark, _config(tmp_path, json.dumps(["a"] * n), job_id=str(n), batch_size=1), backend, moment=MOMENT)
+            for n, backend in ((9, TemplateBackend), (3, Slow))]
+    saved = spark.read.parquet(*[r.latency_path for r in done])
+    assert {(r.run, r.n_requests) for r in saved.collect()} == {
+        ("records_9_20240506_070809", 9), ("records_3_20240506_070809", 3)}
+    rows = profile.latency_quantiles(profile.merged_latencies(saved), (0.5, 1.0)).collect()
+    assert rows[0].n_timed == 12 and rows[0].latency_ms <= rows[1].latency_ms and rows[1].latency_ms >= 20
+
+
 def test_run_from_a_table_with_rejected_and_failed_rows(spark, tmp_path):
     class Mixed(TemplateBackend):
         def generate(self, batch):
