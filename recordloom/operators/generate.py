@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from recordloom.backends.base import Backend, BackendFactory, Generation, Request
 from recordloom.functions.chat import DEFAULT_SYSTEM_TEXT, chat_messages, sampling_params
+from recordloom.operators.pieces import pieces
 from recordloom.schema import schema_id
 from recordloom.shipping import ship_package
 
@@ -126,16 +127,16 @@ class _Task:
         return _built[self.step]
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Arrow batches (bounded in rows and bytes by the session) in, the same ones out.
+        """Arrow batches (bounded in rows and bytes by the session) in, their rows out in pieces.
 
-        Model batches go on over the borders of Arrow batches, so all but the last of a task
-        are full.  What waits for answers are fewer requests than a model batch holds, and the
-        Arrow batches that they came in.
+        Model batches go on over the borders of pieces, so all but the last of a task are
+        full.  What waits for answers are fewer requests than a model batch holds, and the
+        pieces that they came in.
         """
         held: deque[pa.RecordBatch] = deque()
         waiting: list[Request] = []
         answers: deque[tuple[Generation, float]] = deque()
-        for rows in batches:
+        for rows in (piece for batch in batches for piece in pieces(batch)):
             held.append(rows)
             columns = [_to_python(rows.column(name)) for name in REQUEST_COLUMNS]
             waiting += [Request(messages, sampling) for messages, sampling in zip(*columns)]

@@ -1,4 +1,5 @@
 import os
+import tracemalloc
 import uuid
 
 import pyarrow as pa
@@ -7,8 +8,9 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from recordloom.backends.base import Generation
-from recordloom.backends.template import TemplateBackend, template_record, template_text
-from recordloom.operators.generate import _to_python, build_requests, generate, spread
+from recordloom.backends.template import EchoBackend, TemplateBackend, template_record, template_text
+from recordloom.operators.generate import _Task, _to_python, build_requests, generate, spread
+from recordloom.operators.pieces import PIECE_BYTES, pieces
 from recordloom.sinks.staging import stage
 
 
@@ -124,6 +126,33 @@ def test_batches_are_full_whatever_the_arrow_limit(spark, tmp_path):
     assert sizes == [4] + [16] * 6
 
 
+def test_a_task_holds_a_piece_of_an_arrow_batch_as_python_objects():
+    messages = [[{"role": "user", "content": f"{i} " + "x" * 4000}] for i in range(8000)]
+    given = pa.RecordBatch.from_pydict({"id": range(8000), "messages": messages, "sampling_params": [{"top_k": 1}] * 8000})
+    del messages
+    ids = []
+    task = _Task(EchoBackend, {}, 16, "fail", True)
+    tracemalloc.start()
+    try:
+        for rows in task(iter([given])):
+            ids += rows.column("id").to_pylist()
+            assert rows.column("generated_text")[0].as_py().startswith(f"{ids[-rows.num_rows]} ")
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert ids == list(range(8000))
+    assert most < 8 * PIECE_BYTES < given.nbytes / 3
+
+
+def test_pieces_are_bounded_and_keep_every_row():
+    texts = ["", "x" * 3 * PIECE_BYTES, None, *["y" * 1000] * 5000, "ä"]
+    batch = pa.RecordBatch.from_pydict({"t": texts, "n": [[i] for i in range(len(texts))]}).slice(1)
+    found = list(pieces(batch))
+    assert pa.Table.from_batches(found).to_pydict() == batch.to_pydict()
+    assert all(p.num_rows == 1 or p.nbytes <= PIECE_BYTES for p in found) and len(found) > 5
+    assert [p.num_rows for p in pieces(batch.slice(0, 0))] == [0]
+
+
 def test_bad_requests_are_found_by_halving(spark, tmp_path):
     requests = build_requests(_prompts(spark, 64, 1))
     backend = _noting(str(tmp_path), bad=("prompt 13", "prompt 40"))
