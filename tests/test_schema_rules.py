@@ -6,7 +6,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from recordloom.operators import check
+from recordloom.operators import check, schema_rules
 from recordloom.operators.schema_rules import compile_schema, rule_table, schema_violations
 from recordloom.operators.tree import nodes
 from recordloom.plans.queries import _step_lists, damaged
@@ -65,6 +65,32 @@ def test_own_schema(spark, text, wanted):
     assert sorted((r.path, r.rule) for r in got) == wanted
 
 
+def test_partitions_grow_with_nodes_not_with_places(spark, monkeypatch):
+    """Nodes are not dealt by place; ids that repeat or are null are told apart by path alone, as any."""
+    monkeypatch.setattr(schema_rules, "NODES_PER_TASK", 10)
+    schema = json.dumps({"type": "object", "required": ["a", "b"], "properties": {"a": {"type": "integer"}}})
+    texts = ['{"a":1,"b":2}', '{"a":"x"}', "{}", '{"b":1}']
+    ids = [None if i < 8 else i // 2 for i in range(200)]
+    rows = [(i, schema_id(schema), texts[k % 3 if k >= 8 else 3 - k % 2]) for k, i in enumerate(ids)]
+    table = spark.createDataFrame(rows, "id int, schema_id string, t string").repartition(3)
+    found = nodes(table.withColumn("v", F.parse_json("t")), "v", "id", "schema_id").cache()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        violations = schema_violations(found, rule_table(spark, schema), "id")
+        got = sorted(map(tuple, violations.collect()), key=repr)
+        plan = violations._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    there, wanted = {(i, k) for i, _, t in rows for k in json.loads(t)}, []
+    for i, _, t in rows:
+        wanted += [(i, f"$.{k}", "required") for k in "ab" if (i, k) not in there]
+        wanted += [(i, "$.a", "type")] * (json.loads(t).get("a") == "x")
+    assert got == sorted(wanted, key=repr) and len(wanted) > 100
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert joins and all("place" not in line for line in joins)
+    assert f", {-(-found.count() // 10)})" in plan
+
+
 @pytest.mark.parametrize(
     "schema",
     [
