@@ -28,12 +28,14 @@ from pyspark.sql import types as T
 
 from recordloom.functions import json_text
 from recordloom.operators.once import once
+from recordloom.operators.pieces import PIECE_BYTES, pieces
 from recordloom.shipping import ship_package
 from recordloom.sinks.staging import stage
 
 NOT_A_LIST = "is not a JSON list of strings"
 _SPACE = r"[ \t\n\r]*"
-_FLUSH = 1 << 24
+# What a segment takes as Python objects besides its bytes.
+_SEGMENT_BYTES = 256
 _KINDS = {
     "path": pa.string(), "start": pa.int64(), "size": pa.int64(), "n": pa.int64(),
     "raw": pa.binary(), "ended": pa.bool_(), "edge": pa.bool_(), "n_bytes": pa.int64(),
@@ -60,7 +62,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal n, held
         raw = b'"'.join(parts)
         rows.append([*split, n, raw, ended, n == 0, len(raw) + 1])
-        held += len(raw) + 64
+        held += len(raw) + _SEGMENT_BYTES
         n += 1
         parts.clear()
 
@@ -70,7 +72,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rows:
             rows[-1][_EDGE] = True
 
-    for lines in batches:
+    for lines in (piece for batch in batches for piece in pieces(batch)):
         paths, starts, sizes, values = (c.to_pylist() for c in lines.columns)
         for path, start, size, value in zip(paths, starts, sizes, values):
             if split != (path, start, size):
@@ -79,7 +81,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append(value)
             if (len(value) - len(value.rstrip(b"\\"))) % 2 == 0:
                 close(ended=True)
-                if held > _FLUSH:
+                if held > PIECE_BYTES:
                     # The last one may yet prove to be an edge.
                     yield batch(rows[:-1])
                     del rows[:-1]
@@ -207,7 +209,7 @@ def _list_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The elements of one task as the lines of one JSON list."""
     yield pa.RecordBatch.from_arrays([pa.array(["["])], names=["value"])
     before = ""
-    for batch in batches:
+    for batch in (piece for given in batches for piece in pieces(given)):
         lines = [f"{before if i == 0 else ','}{line}" for i, line in enumerate(batch.column(0).to_pylist())]
         if lines:
             before = ","

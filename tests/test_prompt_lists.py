@@ -2,15 +2,18 @@
 
 import json
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from oracle_compare import connect, difference
 from pyspark.sql import functions as F
 
+from recordloom.operators.pieces import PIECE_BYTES
 from recordloom.plans.oracles import ORACLES
 from recordloom.plans.queries import QUERIES
-from recordloom.sources.prompt_lists import PromptLists, write_prompt_lists
+from recordloom.sources.prompt_lists import PromptLists, _list_lines, _segments, write_prompt_lists
 from recordloom.sources.prompts import check_prompt_files, read_prompts
 
 PIECES = ['"', "\\", '\\"', "\\\\", ",", "[", "]", " ", "ä", "\n", "x" * 40, "", '","', "\U0001f600"]
@@ -87,6 +90,29 @@ def test_written_lists_are_lists(spark, tmp_path):
     assert sorted(r.prompt for r in read_prompts(spark, str(tmp_path / "l")).collect()) == sorted(found)
 
 
+@pytest.mark.parametrize("size", [1, 4000])
+def test_a_task_holds_a_piece_of_its_lines_as_python_objects(size):
+    n = 24_000_000 // (size + 500)
+    texts = pa.array([f"{i} " + "x" * size for i in range(n)])
+    place = [pa.array(["file:/lists/part-0"] * n), pa.array([0] * n), pa.array([n * size] * n)]
+    lines = pa.RecordBatch.from_arrays([*place, texts.cast(pa.binary())], names=["path", "start", "size", "value"])
+    listed = pa.RecordBatch.from_arrays([texts], names=["value"])
+    found, written, edges = 0, 0, []
+    tracemalloc.start()
+    try:
+        for rows in _segments(iter([lines])):
+            assert rows.column("raw").equals(lines.column("value").slice(found, rows.num_rows))
+            edges += [found + i for i, edge in enumerate(rows.column("edge").to_pylist()) if edge]
+            found += rows.num_rows
+        for rows in _list_lines(iter([listed])):
+            written += rows.num_rows
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (found, written, edges) == (n, n + 2, [0, n - 1])
+    assert most < 8 * PIECE_BYTES
+
+
 def test_query_reads_lists_from_files(spark):
     name = "prompt_list_files"
     assert difference(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) is None
