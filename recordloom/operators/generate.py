@@ -10,7 +10,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark.resource import ResourceProfile
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from recordloom.functions.chat import DEFAULT_SYSTEM_TEXT, chat_messages, sampli
 from recordloom.operators.pieces import pieces
 from recordloom.schema import schema_id
 from recordloom.shipping import ship_package
+from recordloom.sinks.staging import stage
 
 GENERATED_FIELDS = (
     T.StructField("generated_text", T.StringType()),
@@ -28,6 +29,8 @@ GENERATED_FIELDS = (
     T.StructField("generation_error", T.StringType()),
 )
 REQUEST_COLUMNS = ("messages", "sampling_params")
+# Keys of answered rows up to this number are broadcast (about 200 bytes each, so 50 MB).
+BROADCAST_KEYS = 250_000
 
 
 class GenerationFailed(RuntimeError):
@@ -70,12 +73,52 @@ def spread(prompts: DataFrame, partitions: int | None) -> DataFrame:
     return prompts if partitions is None else prompts.repartition(partitions)
 
 
-def pending(prompts: DataFrame, done: DataFrame | None) -> DataFrame:
+def _row_key(prompts: DataFrame) -> Column:
+    """What tells rows apart, with SHA-256 digests in place of texts."""
+    digested = (T.StringType(), T.BinaryType())
+    return F.struct(
+        *[
+            (F.unhex(F.sha2(f.name, 256)) if f.dataType in digested else F.col(f.name)).alias(f"k{i}")
+            for i, f in enumerate(prompts.schema.fields)
+        ]
+    )
+
+
+def pending(prompts: DataFrame, done: DataFrame | None, path: str | None = None) -> DataFrame:
     """The prompts that have no answer in ``done``, which holds all of their columns.
 
-    By rows and their number, not by id alone: equal prompts may share an id.
+    By rows and their number, not by id alone: equal prompts may share an id.  Rows are counted
+    by their keys, and the keys that have answers are staged at ``path`` (a fresh one if not
+    given), so no map or sort holds texts: prompts stream past a broadcast of the keys or, where
+    they are many, past a hash table of each partition's.  Only copies of a row that has fewer
+    answers than copies are sorted, to be numbered.
     """
-    return prompts if done is None else prompts.exceptAll(done.select(*prompts.columns))
+    if done is None:
+        return prompts
+    key = _row_key(prompts)
+    asked = prompts.select(F.struct(*prompts.columns).alias("row"), key.alias("key"))
+    both = prompts.select(key.alias("key"), F.lit(0).alias("answers")).unionAll(
+        done.select(key.alias("key"), F.lit(1))
+    )
+    found = both.groupBy("key").agg(
+        F.sum("answers").alias("answers"), F.count_if(F.col("answers") == 0).alias("copies")
+    )
+    answered = stage(found.where("answers > 0"), path, again=True)
+    open_ones = answered.where("copies > answers")
+    n, n_open = answered.agg(F.count(F.lit(1)), F.count_if(F.col("copies") > F.col("answers"))).first()
+
+    def small(keys: DataFrame, n_keys: int) -> DataFrame:
+        kinds = [f.dataType for f in keys.schema["key"].dataType.fields]
+        bounded = all(isinstance(k, T.AtomicType) and not isinstance(k, T.StringType) for k in kinds)
+        fits = bounded and n_keys <= BROADCAST_KEYS
+        return F.broadcast(keys) if fits else keys.hint("shuffle_hash")
+
+    rest = asked.join(small(answered.select("key"), n), "key", "left_anti").select("row.*")
+    if n_open:
+        copy = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+        numbered = asked.join(small(open_ones, n_open), "key").withColumn("copy", copy)
+        rest = rest.unionAll(numbered.where("copy <= copies - answers").select("row.*"))
+    return rest
 
 
 def _to_python(column: pa.Array) -> list[Any]:

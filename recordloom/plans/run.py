@@ -150,7 +150,10 @@ def run(
         F.coalesce(F.sum("n_output_tokens"), F.lit(0)).alias("n_output_tokens"),
         *latency_measures(),
     ]
-    stage_parts(answered(pending(prompts, done)).observe(seen, *measures), raw_path)
+    answered_keys = f"{raw_path}-answered"
+    asked = pending(prompts, done, answered_keys)
+    stage_parts(answered(asked).observe(seen, *measures), raw_path)
+    remove(spark, answered_keys)
     raw = spark.read.schema(schema).parquet(raw_path)
     # Counted on the way to the table, or from the table where an earlier run wrote to it too.
     counts = seen.get if done is None else raw.agg(*measures).first().asDict()

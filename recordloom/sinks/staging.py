@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# A task holds the row group that it writes, 128 MiB of texts unless told otherwise.
+ROW_GROUP_BYTES = 8 << 20
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -58,7 +60,7 @@ def stage_parts(df: DataFrame, path: str) -> None:
     rename; on a store that copies instead, set a committer made for it.
     """
     writer = df.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    writer.parquet(path)
+    writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
 def staged_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

@@ -3,15 +3,24 @@ import tracemalloc
 import uuid
 
 import pyarrow as pa
+import pyarrow.dataset as ds
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from recordloom.backends.base import Generation
 from recordloom.backends.template import EchoBackend, TemplateBackend, template_record, template_text
-from recordloom.operators.generate import _Task, _to_python, build_requests, generate, spread
+from recordloom.operators import generate as generate_module
+from recordloom.operators.generate import (
+    _Task,
+    _to_python,
+    build_requests,
+    generate,
+    pending,
+    spread,
+)
 from recordloom.operators.pieces import PIECE_BYTES, pieces
-from recordloom.sinks.staging import stage
+from recordloom.sinks.staging import stage, stage_parts
 
 
 def _prompts(spark, n, partitions=3):
@@ -249,3 +258,69 @@ def test_nested_columns_become_python_rows(rows):
     for start in range(len(rows) + 1):
         part = column.slice(start)
         assert _to_python(part) == part.to_pylist()
+
+
+PROMPT_ROWS = "id long, prompt string, x double, raw binary, row string"
+
+
+def _prompt_rows(copies):
+    kinds = [
+        (1, "a", 0.0, b"x", "r"),
+        (1, "a", None, b"x", "r"),
+        (1, None, float("nan"), None, None),
+        (None, "a", 0.0, b"", "r"),
+        (2, "", 1.5, b"x", ""),
+        (2, "b" * 5000, 1.5, b"x", "r"),
+        (None, None, None, None, None),
+    ]
+    return [row for row, n in zip(kinds, copies) for _ in range(n)]
+
+
+@pytest.mark.parametrize("most", [None, 0])
+@pytest.mark.parametrize(
+    "asked, answered",
+    [
+        ([1, 1, 1, 1, 1, 1, 1], [1, 0, 1, 0, 1, 0, 1]),
+        ([3, 2, 4, 1, 5, 6, 3], [1, 2, 3, 0, 7, 2, 1]),
+        ([2, 0, 0, 2, 0, 2, 0], [0, 1, 1, 0, 1, 0, 1]),
+        ([1, 2, 3, 1, 2, 3, 1], [0] * 7),
+        ([0] * 7, [1, 2, 0, 0, 0, 0, 1]),
+    ],
+)
+def test_pending_counts_equal_rows(spark, monkeypatch, asked, answered, most):
+    """The same rows as ``exceptAll``, by a broadcast of the keys or by a shuffle."""
+    if most is not None:
+        monkeypatch.setattr(generate_module, "BROADCAST_KEYS", most)
+    prompts = spark.createDataFrame(_prompt_rows(asked), PROMPT_ROWS).repartition(3)
+    minus = F.when(F.col("x") == 0, F.lit(-0.0)).otherwise(F.col("x"))
+    done = spark.createDataFrame(_prompt_rows(answered), PROMPT_ROWS).withColumn("x", minus)
+    done = done.withColumn("generated_text", F.lit("t"))
+    rest = pending(prompts, done)
+    assert rest.columns == prompts.columns
+    assert sorted(map(str, rest.collect())) == sorted(
+        map(str, prompts.exceptAll(done.select(*prompts.columns)).collect())
+    )
+    assert pending(prompts, None) is prompts
+
+
+@pytest.mark.parametrize("most", [None, 0])
+def test_pending_holds_no_texts(spark, monkeypatch, most):
+    """Prompts stream past the keys that have answers; they are neither aggregated nor sorted."""
+    if most is not None:
+        monkeypatch.setattr(generate_module, "BROADCAST_KEYS", most)
+    prompts = _prompts(spark, 60)
+    rest = pending(prompts, prompts.where("id % 3 = 0").withColumn("generated_text", F.lit("t")))
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Aggregate", "Sort", "Window", "Generate"))
+    assert ("ShuffledHashJoin" if most == 0 else "BroadcastHashJoin") in plan
+    assert sorted(r["id"] for r in rest.collect()) == [i for i in range(60) if i % 3]
+
+
+def test_a_task_holds_a_small_row_group_of_the_raw_table(spark, tmp_path):
+    """A task writes its texts as it goes, not up to 128 MiB of them at once."""
+    noise = F.expr("array_join(transform(sequence(1, 400), i -> sha2(concat(id, ' ', i), 256)), '')")
+    stage_parts(spark.range(2_000, numPartitions=1).select("id", noise.alias("text")), str(tmp_path / "t"))
+    [file] = ds.dataset(str(tmp_path / "t"), format="parquet").get_fragments()
+    sizes = [group.total_byte_size for group in file.row_groups]
+    assert len(sizes) > 1 and max(sizes) < 48 << 20
+    assert spark.read.parquet(str(tmp_path / "t")).distinct().count() == 2_000
